@@ -54,6 +54,8 @@ def trailing_state(amounts: DataFrame, windows: tuple[int, ...], step: str = "da
     """
     entity = ["player_id", *by]
     names = [f"{p}_{w}" for w in windows for p in PARTS]
+    # One row per entity and step moves once; events, sums and the running window all keep this partitioning.
+    amounts = amounts.repartition(*entity)
     later = (lambda w: F.date_add(step, w)) if step == "day" else (lambda w: F.col(step) + w)
 
     def event(at: Column, sign: dict[int, int]) -> Column:
