@@ -113,7 +113,7 @@ def merge(state: DataFrame, targets: tuple[int, ...] = TARGETS, bits: int = 32)
 
 
 def box_groups() -> dict[str, Column]:
-    club = F.upper(F.regexp_replace("team_id", r"^[\s ]+|[\s ]+$", ""))
+    club = F.upper(F.regexp_replace("team_id", r"^[\s\u00a0]+|[\s\u00a0]+$", ""))
     return {"player": F.col("player"), "club_season": F.concat_ws("|", F.coalesce(club, F.lit("")), "season_code")}
 
 
