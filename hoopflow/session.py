@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +60,18 @@ def cut(df: DataFrame) -> DataFrame:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for written state inside the shared folder."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Makes this package importable in the executors' Python workers, wherever they run; once per context."""
+    context = spark.sparkContext
+    if getattr(context, "_hoopflow_shipped", False):
+        return spark
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="hoopflow-code-")) / "hoopflow.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._hoopflow_shipped = True
+    return spark
