@@ -109,7 +109,9 @@ def merge(state: DataFrame, targets: tuple[int, ...] = TARGETS, bits: int = 32)
     """Percentiles over all parts of a state; each lies within 2**-(bits - 12) of the exact value, relative to it."""
     counts = cut(state.groupBy("level", "grp", F.col("prefix").alias("u")).agg(F.sum("n").alias("n")))
     found = select_ranks(counts, targets, bits, bits)
-    return _wide(found.withColumn("value", value_of_bits(F.shiftleft("prefix", BITS - bits))), targets)
+    # Of the values that share a prefix, the one nearest to zero: whole numbers of up to bits - 12 digits come out exactly.
+    nearest = F.shiftleft("prefix", BITS - bits) + F.when(F.col("prefix") < 0, (1 << (BITS - bits)) - 1).otherwise(0)
+    return _wide(found.withColumn("value", value_of_bits(nearest)), targets)
 
 
 def box_groups() -> dict[str, Column]:

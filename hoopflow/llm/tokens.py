@@ -91,7 +91,7 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, keep: tuple[str,
 def decode(encoded: DataFrame, spark: SparkSession, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, text from doc_id, ids, through a join with the pieces of the ids (50 thousand rows, fixed). Empty lists give ''."""
     pieces = spark.createDataFrame([(i, p.hex()) for p, i in read_ranks(Path(vocabulary).read_bytes()).items()], "id int, piece string")
-    rows = encoded.select(F.monotonically_increasing_id().alias("_r"), "doc_id", F.posexplode_outer("ids").alias("pos", "id"))
+    rows = encoded.select(F.monotonically_increasing_id().alias("_r"), "doc_id", "ids").select("_r", "doc_id", F.posexplode_outer("ids").alias("pos", "id"))
     at = rows.join(F.broadcast(pieces), "id", "left").groupBy("_r", "doc_id").agg(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "piece")))).alias("w"))
     text = F.decode(F.unhex(F.array_join(F.transform("w", lambda x: x["piece"]), "")), "UTF-8")
     return at.select("doc_id", F.when(F.size("w") > 0, text).otherwise("").alias("text"))
