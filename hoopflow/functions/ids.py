@@ -28,8 +28,8 @@ def message_key(c: Column) -> Column:
 
 
 def key_part(key: Column, n: int) -> Column:
-    """Part 1 (season), 2 (game number) or 3 (player or club) of a message key."""
-    return F.split(key, "_", 3).getItem(n - 1)
+    """Part 1 (season), 2 (game number) or 3 (player or club) of a message key; null where the key has no such part."""
+    return F.get(F.split(key, "_", 3), F.lit(n - 1))
 
 
 def season_of(key: Column) -> Column:

@@ -23,7 +23,7 @@ def seconds(minutes: Column) -> Column:
     m = F.trim(minutes)
     played = m.rlike(r"^\d{1,3}:\d{1,2}$")
     return F.when(F.upper(m) == "DNP", F.lit(0)).when(
-        played, F.split(m, ":")[0].cast("int") * 60 + F.split(m, ":")[1].cast("int")
+        played, F.get(F.split(m, ":"), F.lit(0)).try_cast("int") * 60 + F.get(F.split(m, ":"), F.lit(1)).try_cast("int")
     )
 
 
