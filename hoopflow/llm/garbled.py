@@ -30,6 +30,8 @@ TWICE, LOST = len(PAIRS), len(PAIRS) + 1
 STATES = len(PAIRS) + 2
 
 BUCKETS = 1 << 20
+#: What a worker keeps at once: runs in its cache (their length in characters), characters of one Viterbi call, texts in hand.
+KEPT, KEPT_CHARS, CELLS, TEXTS = 20_000, 24, 24_000, 1_000
 ENTER, LEAVE, SWITCH = -13.0, -1.0, -16.0
 #: a character that a state can't explain; what a broken sequence costs more than under the clean state
 IMPOSSIBLE, BROKEN = -40.0, -2.0
@@ -168,9 +170,19 @@ class Model:
     def __init__(self, counts: np.ndarray) -> None:
         self.counts, self.words = counts[:BUCKETS], counts
         self.total = max(1.0, float(self.counts.sum()) / 3)
+        self.kept: dict[str, tuple[np.ndarray, float]] = {}
+        self.pairs: dict[tuple[str, str], float] = {}
 
     def pair(self, x: str, y: str) -> float:
         """Score of y after x, with x given and the pair smoothed by the single characters."""
+        found = self.pairs.get((x, y))
+        if found is None:
+            if len(self.pairs) >= 5 * KEPT:
+                self.pairs.clear()
+            found = self.pairs[x, y] = self._pair(x, y)
+        return found
+
+    def _pair(self, x: str, y: str) -> float:
         fx, fy = fold(x), fold(y)
         alone = (self.counts[bucket("\x00", fy)] + 0.02) / self.total if ord(y) > 127 else 0.02
         before = self.counts[bucket("\x00", fx)] if ord(x) > 127 else self.total
@@ -183,8 +195,21 @@ class Model:
         known = sum(1 for w in own if len(w) > 1 and self.words[word_bucket(w)] >= 2)
         return not own or 2 * known >= len(own)
 
-    @lru_cache(maxsize=400_000)
-    def emissions(self, piece: str) -> np.ndarray:
+    def emissions(self, piece: str) -> tuple[np.ndarray, float]:
+        """The scores of a run and the most that any path within it can gain over the clean one (kept for runs that recur)."""
+        found = self.kept.get(piece)
+        if found is None:
+            e = self._emissions(piece)
+            more = np.maximum(e[:, 1:] - e[:, :1], 0.0)
+            # Either one state explains the run, or the path pays for changing states within it.
+            found = e.astype("float32"), float(max(more.sum(axis=0).max(), more.max(axis=1).sum() + ENTER + LEAVE))
+            if len(piece) <= KEPT_CHARS:
+                if len(self.kept) >= KEPT:
+                    self.kept.clear()
+                self.kept[piece] = found
+        return found
+
+    def _emissions(self, piece: str) -> np.ndarray:
         """The scores [characters, 1 + states] of a run of non-ASCII characters with its two neighbours."""
         before, run, after = piece[0], piece[1:-1], piece[-1]
         n = len(run)
@@ -215,7 +240,8 @@ class Model:
             if c == LOSS:
                 left = before if i == 0 else run[i - 1]
                 right = after if i == n - 1 else run[i + 1]
-                touching = left.isalpha() or right.isalpha() or LOSS in (left, right)
+                alone = left.isspace() and right.isspace() or left in OPENING and right in CLOSING
+                touching = not alone  # a mark that stands by itself or in quotation marks is spoken of
                 e[i, 0] = -16.0 if touching else -4.0
                 e[i, 1 + LOST] = -1.0 if touching else -4.0
         return e
@@ -322,12 +348,27 @@ RESULT = "doc_id long, garbled boolean, restored string, whole boolean, encoding
 
 def label_texts(ids: list, texts: list[str], model: Model) -> Iterator[tuple]:
     """doc_id, garbled, restored text, whether it is whole, and the encoding pairs found."""
-    todo = [(i, t, _pieces(t)) for i, t in zip(ids, texts) if not t.isascii()]
-    todo.sort(key=lambda x: sum(z - a for a, z, _ in x[2]))
-    for k in range(0, len(todo), 256):
-        group = todo[k : k + 256]
-        paths = viterbi([np.concatenate([model.emissions(p) for _, _, p in pieces]) for _, _, pieces in group])
-        for (i, t, _), labels in zip(group, paths):
+    for k in range(0, len(ids), TEXTS):
+        yield from _label(ids[k : k + TEXTS], texts[k : k + TEXTS], model)
+
+
+def _label(ids: list, texts: list[str], model: Model) -> Iterator[tuple]:
+    todo = []
+    for i, t in zip(ids, texts):
+        pieces = [p for _, _, p in _pieces(t)]
+        # A path off the clean state pays for entering and leaving; where no path can gain that much the text is clean.
+        if pieces and sum(model.emissions(p)[1] for p in pieces) + ENTER + LEAVE > 0:
+            todo.append((i, t, pieces, sum(map(len, pieces)) - 2 * len(pieces)))
+        else:
+            yield i, False, None, True, ""
+    todo.sort(key=lambda x: x[3])
+    while todo:
+        n = 1
+        while n < len(todo) and (n + 1) * todo[n][3] <= CELLS:
+            n += 1
+        group, todo = todo[:n], todo[n:]
+        paths = viterbi([np.concatenate([model.emissions(p)[0] for p in pieces]) for _, _, pieces, _ in group])
+        for (i, t, _, _), labels in zip(group, paths):
             found = sorted({int(x) - 1 for x in labels if x})
             if found:
                 fixed, whole = restore(t, labels)
@@ -358,11 +399,19 @@ def train(docs: DataFrame) -> np.ndarray:
     return counts
 
 
+#: The model a worker used last, so its tasks share what it has computed.
+_LAST: dict[int, Model] = {}
+
+
 def _apply(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(counts.astype("float32"))
+    mark = zlib.crc32(counts.tobytes())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = Model(shared.value.astype("float64"))
+        if mark not in _LAST:
+            _LAST.clear()
+            _LAST[mark] = Model(shared.value)
+        model = _LAST[mark]
         for b in batches:
             rows = list(label_texts(b["doc_id"].tolist(), b["text"].tolist(), model))
             yield pd.DataFrame(rows, columns=["doc_id", "garbled", "restored", "whole", "encodings"]).astype({"doc_id": "Int64", "garbled": bool, "whole": bool})
