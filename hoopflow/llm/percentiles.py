@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType
 
 from hoopflow.session import cut
 
@@ -20,7 +21,7 @@ TARGETS = (100, 250, 500, 750, 900, 990)
 NULL_GROUP = "\u0000"
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def ordered_bits(values: pd.Series) -> pd.Series:
     """Order-preserving integers: -0.0 is 0.0, infinities are the extremes, null and NaN give null."""
     missing = values.isna().to_numpy()
@@ -30,7 +31,7 @@ def ordered_bits(values: pd.Series) -> pd.Series:
     return out
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def value_of_bits(bits: pd.Series) -> pd.Series:
     b = bits.to_numpy(dtype="int64")
     return pd.Series((b ^ ((b >> 63) & np.int64(0x7FFFFFFFFFFFFFFF))).view("float64"))
