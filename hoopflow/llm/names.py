@@ -179,22 +179,22 @@ def same_decisions(decided: DataFrame, attached: DataFrame) -> DataFrame:
     """decision_id, person of all decisions: those attached to a person of the box score, and the others grouped among themselves.
 
     Two decisions that fit no one belong together if their spellings align, no shirt number, position or given name contradicts, and
-    they share a shirt number, or a club within a year.
+    they share a shirt number, the season, or a club within a year.
     """
     rest = decided.join(attached.select("decision_id"), "decision_id", "left_anti")
     spelled = spelling_pairs(rest, rest, ["league"])
     r = rest.select("decision_id", "league", "name", "year", "club", "dorsal", "position")
 
     def side(s: str) -> DataFrame:
-        return r.select("league", F.col("name").alias(f"name_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("decision_id", "year", "club", "dorsal", "position")])
+        return r.select("league", F.col("name").alias(f"name_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("decision_id", "year", "club", "dorsal", "position")]).withColumn(f"season_{s}", F.col(f"year_{s}").cast("string"))
 
-    # Either evidence is an equality, so each is its own join and a hot name spreads over clubs or numbers.
+    # Each evidence is an equality, so each is its own join and a hot name spreads over clubs, numbers and seasons.
     def joined(on: str) -> DataFrame:
         one = side("a").where(f"{on}_a is not null").withColumn("_on", F.col(f"{on}_a")).join(spelled, ["league", "name_a"])
         two = side("b").where(f"{on}_b is not null").withColumn("_on", F.col(f"{on}_b"))
         return one.join(two, ["league", "name_b", "_on"]).where("decision_id_a < decision_id_b").drop("_on")
 
-    near = joined("club").where("abs(year_a - year_b) <= 1").unionByName(joined("dorsal"))
+    near = joined("club").where("abs(year_a - year_b) <= 1").unionByName(joined("dorsal")).unionByName(joined("season"))
     fits = "(dorsal_a is null or dorsal_b is null or dorsal_a = dorsal_b) and (position_a is null or position_b is null or position_a = position_b)"
     pairs = near.where(fits).select(F.col("decision_id_a").alias("a"), F.col("decision_id_b").alias("b")).distinct()
     alone = components(pairs, rest.select(F.col("decision_id").alias("node")).distinct())

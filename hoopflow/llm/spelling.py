@@ -87,9 +87,16 @@ def distance(a: str, b: str, most: int = 2) -> int:
     return prev[-1]
 
 
+@lru_cache(maxsize=1)
+def _short_forms() -> dict[str, tuple[str, ...]]:
+    return {fold(k): tuple(fold(v).split()) for k, v in SHORT.items()}
+
+
 def short_for(a: str, b: str) -> bool:
-    known = SHORT.get(a) or next((v for k, v in SHORT.items() if len(k) > 4 and k[0] == a[0] and distance(a, k, 1) <= 1), "")
-    return any(distance(b, x, 1) <= 1 for x in known.split())
+    """Whether a is an everyday short form of b, either of them with a slip."""
+    forms = _short_forms()
+    known = forms.get(a) or next((v for k, v in forms.items() if len(k) > 4 and k[0] == a[0] and distance(a, k, 1) <= 1), ())
+    return any(distance(b, x, 1) <= 1 for x in known)
 
 
 @lru_cache(maxsize=500_000)
