@@ -133,6 +133,20 @@ def summary(solved: DataFrame, cash: dict[str, float] | None = None) -> DataFram
     return g.unpivot(["scenario", "kind"], list(metrics), "metric", "value")
 
 
+def sensitivity(solved: DataFrame) -> DataFrame:
+    """One row per scenario: what trading gains, what one more credit is worth, what growth costs in points, and how far the squad is from
+    the plain one (members that the solve without risk and growth terms doesn't have). Solves without a squad give nulls."""
+    points = F.sum(lineup_weight() * F.col("score")).alias("points")
+    kinds = solved.groupBy("scenario").pivot("kind", list(KINDS)).agg(F.max("objective").alias("objective"), points)
+    own, plain = solved.where("kind = 'main' and selected = 1"), solved.where("kind = 'vanilla' and selected = 1")
+    changed = own.join(plain.select("scenario", "player"), ["scenario", "player"], "left_anti").groupBy("scenario").agg(F.count(F.lit(1)).alias("changed"))
+    return kinds.join(changed, "scenario", "left").select(
+        "scenario", F.col("main_objective").alias("objective"), (F.col("main_objective") - F.col("no_trade_objective")).alias("gain_of_trading"),
+        (F.col("one_credit_more_objective") - F.col("main_objective")).alias("worth_of_a_credit"), (F.col("credit_value_0_points") - F.col("main_points")).alias("points_given_for_growth"),
+        F.coalesce("changed", F.lit(0)).alias("changed_from_plain"),
+    )
+
+
 def format_report(solved: DataFrame, scenario: str) -> str:
     """A text report of one scenario's main solve; a squad has ten rows."""
     rows = selection_sheet(solved).where((F.col("scenario") == scenario) & ((F.col("selected") == 1) | (F.col("action") == "sell"))).collect()

@@ -11,7 +11,7 @@ from hoopflow.operators import entity, features, merge, quality
 from hoopflow.operators.deliveries import first_deliveries
 from hoopflow.operators.squad import frame, solves
 from hoopflow.plans.data_queries import _MESSAGE
-from hoopflow.session import table
+from hoopflow.session import cut, table
 
 KEEP = [
     "season_code", "game_player_id", "game_id", "player_id", "phase", "round", "game", "team_id", "dorsal", "player", "valuation", "is_starter", "is_playing", "minutes", *features.STATS, "plus_minus",
@@ -292,7 +292,7 @@ def candidate_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _solved(spark: SparkSession, d: str) -> DataFrame:
-    return solves.solve_all(_candidates(spark, d), {"plain": (CFG, None)})
+    return cut(solves.solve_all(cut(_candidates(spark, d)), {"plain": (CFG, None)}))
 
 
 def squad_optimum(spark: SparkSession, d: str) -> DataFrame:
@@ -303,12 +303,16 @@ def scenario_summary(spark: SparkSession, d: str) -> DataFrame:
     return solves.summary(_solved(spark, d))
 
 
+def squad_sensitivity(spark: SparkSession, d: str) -> DataFrame:
+    return solves.sensitivity(_solved(spark, d))
+
+
 _NAMES = [
     prepare_boxscore, join_stats_season, join_stats_per_round, player_kpis, player_kpis_filled, pir_game_team_position, grades_conceded, grades_collected, grade_pivot_conceded,
     grade_pivot_collected, hist_long, hist_wide, next_round_games, next_round_by_team, schedule_grades, analytical_record, optimizer_input, teams_distinct, merge_deltas,
     merge_covered_seasons, merge_base_season, dedupe_lowest_rank, duplicate_keys, blank_rows, normalize_names, match_keys, reorder_abbreviate, title_case, spelling_pools, recent_season_pool,
     raw_spellings, candidate_status, decisions_overlay, map_variants, lookup_player, lookup_team, audit_stats_only, audit_box_only, audit_hint, objective_components, input_rule_counts,
-    candidate_counts, squad_optimum, scenario_summary,
+    candidate_counts, squad_optimum, scenario_summary, squad_sensitivity,
 ]
 QUERIES = {f.__name__: f for f in _NAMES}
 
@@ -503,6 +507,13 @@ left join a on a.key = {_norm("p.player")} left join b on b.key = {_norm("p.play
     "lookup_team": f"with {_CLUBS} select t.team_id, l.club from (select distinct team_id from euroleague_box_score) t left join lookup l on {_norm('t.team_id')} = l.key",
     "audit_stats_only": f"with {_MATCHED} select stats_team as team, stats_name as name, team as club, match_status as status, notes from entries where match_status not in ('exact', 'confirmed')",
     "audit_box_only": f"with {_BOXONLY} select team, club, player, games, array_to_string(rounds, ',') as rounds from boxonly",
+    "audit_hint": f"""with {_BOXONLY},
+near as (select b.*, case when e.stats_name is not null then e.stats_team || ' ' || e.stats_name || ' (' || e.match_status || ')' end as t from boxonly b
+  left join (select * from entries where match_status <> 'exact') e on b.club = e.team and len(list_intersect(
+    list_filter(string_split({_norm("substr(e.stats_name, strpos(e.stats_name || ' ', ' ') + 1)")}, ' '), lambda x: x <> ''), string_split({_norm("b.player")}, ' '))) > 0),
+g as (select team, club, player, games, rounds, list_sort(list_distinct(coalesce(list(t) filter (where t is not null), []))) as likely from near group by 1, 2, 3, 4, 5)
+select team, club, player, games, case when len(rounds) > 1 then rounds[1] || '-' || rounds[-1] else cast(rounds[1] as varchar) end as rounds, array_to_string(likely, '; ') as likely,
+  case when club = '' then 'unknown team' when len(likely) = 0 then 'not listed' else 'likely' end as verdict, {_title(_reorder("player"))} as decide_as from g""",
     "objective_components": f"""with {_CANDIDATES}, p as (select player, pir_mean as target, crd_last as price,
     -0.1 * pir_std + 0.2 * greatest(0, pir_p90 - pir_mean) - 0.1 * greatest(0, pir_mean - pir_p10) as r, (pir_mean - 1.1 * crd_last) / 25 as g from candidates)
 select player, round(r, 6) as risk_adjustment, round(target + r, 6) as score, round(g, 6) as credit_growth, round(3 * g, 6) as growth_value from p""",

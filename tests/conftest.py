@@ -10,4 +10,4 @@ from hoopflow.session import local_session, ship  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return ship(local_session(4, 4, "4g"))
+    return ship(local_session(4, 2, "4g"))

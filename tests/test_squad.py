@@ -87,7 +87,11 @@ def table(spark, pool):
 def test_scenarios_end_to_end(spark):
     cfg = Optimization(cash=3.0, max_trades=2, credit_value=1.0)
     df = table(spark, universe(1))
-    solved = solves.run_scenarios(df, cfg, [solves.Scenario("plain"), solves.Scenario("rich", None, (("cash", 50.0), ("unlimited_trades", True)))]).toPandas()
+    frame_ = solves.run_scenarios(df, cfg, [solves.Scenario("plain"), solves.Scenario("rich", None, (("cash", 50.0), ("unlimited_trades", True)))]).persist()
+    solved = frame_.toPandas()
+    s = {r["scenario"]: r for r in solves.sensitivity(frame_).collect()}
+    assert s["plain"]["gain_of_trading"] >= 0 and s["rich"]["worth_of_a_credit"] >= 0 and s["rich"]["points_given_for_growth"] >= -1e-9
+    assert solves.format_report(frame_, "plain").count("\n") >= 10 and solves.format_report(frame_, "void") == "void: no squad"
     value = solved.groupby(["scenario", "kind"]).objective.max()
     assert value["rich", "main"] >= value["plain", "main"] >= value["plain", "no_trade"]
     assert (solved[solved.selected == 1].groupby(["scenario", "kind"]).size() == 10).all()
