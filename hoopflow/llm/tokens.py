@@ -32,7 +32,10 @@ def words_of(text: Column) -> Column:
 
 
 def split_words(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """_r, keep..., pos, word: one row per word; a text without words has one row with nulls. _r numbers the rows, so equal rows stay apart."""
+    """_r, keep..., pos, word: one row per word; a text without words has one row with nulls. _r numbers the rows, so equal rows stay apart.
+
+    docs is read twice and must number its rows alike both times: a table as it is read, or one that was materialised.
+    """
     rows = docs.select(F.monotonically_increasing_id().alias("_r"), *keep, words_of(F.col("text")).alias("w"))
     return rows.select("_r", *keep, F.posexplode_outer("w").alias("pos", "word"))
 
