@@ -17,12 +17,13 @@ def _marks() -> tuple[str, str, list[tuple[str, str]]]:
     one_from, one_to, many = [], [], []
     for cp in [*range(0x80, 0x2000), *range(0xFB00, 0xFB07), *range(0xFF21, 0xFF5B)]:
         base = "".join(c for c in unicodedata.normalize("NFKD", chr(cp)) if not unicodedata.combining(c))
-        if base == chr(cp) or not base.isascii():
-            continue
+        base = "".join(c if c.isascii() and c.isalpha() else " " for c in base)
+        if not base.strip():
+            continue  # nothing but blanks is left of it, as of any other mark
         if len(base) == 1:
             one_from.append(chr(cp))
             one_to.append(base)
-        elif base.strip().isalpha():
+        else:
             many.append((chr(cp), base))
     return "".join(one_from), "".join(one_to), many
 
