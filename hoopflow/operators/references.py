@@ -55,20 +55,12 @@ def orphans(references: DataFrame, parents: DataFrame) -> DataFrame:
     A null ``added_on`` covers no day. Empty parents make every reference an orphan; empty references give no rows.
     """
     pairs = cut(references.select("table_name", F.coalesce("day", no_day()).alias("day"), "ref").distinct())
-    span = pairs.where(F.col("day") > no_day()).agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
     known = parents.where(F.col("ref").isNotNull() & F.col("added_on").isNotNull()).select("ref", "added_on", "removed_on").distinct()
     names = dense_ids(pairs.select("ref").union(known.select("ref")).distinct())
-    if span["lo"] is None:
-        valid = known.select("ref", no_day().alias("day"))
-    else:
-        lo, hi = F.lit(span["lo"]), F.lit(span["hi"])
-        valid = (
-            known.withColumn("a", F.greatest("added_on", lo))
-            .withColumn("z", F.least(F.coalesce(F.date_sub("removed_on", 1), hi), hi))
-            .where("a <= z")
-            .select("ref", F.explode(F.expr("sequence(a, z)")).alias("day"))
-            .union(known.select("ref", no_day().alias("day")))
-        )
+    # A parent's bit is set on the days on which somebody refers to that name: days nobody asks for need no bit, however long a
+    # period is, so a mistyped year makes no rows. A hot name is one row per day here.
+    held = (F.col("added_on") <= F.col("day")) & (F.col("removed_on").isNull() | (F.col("day") < F.col("removed_on")))
+    valid = pairs.select("ref", "day").distinct().join(known, "ref").where(held | (F.col("day") == no_day())).select("ref", "day")
     child = bitmaps(pairs.join(names, "ref"), "table_name", "day")
     parent = bitmaps(valid.distinct().join(names, "ref"), "day").withColumnRenamed("bits", "held")
     left = (

@@ -1,19 +1,21 @@
 """Totals over trailing periods, for every day, as versioned rolling state.
 
 total(d) = total(d-1) + arrivals(d) - expiring(d-w). The recurrence is evaluated set-wise: each amount enters on its day and
-leaves ``w`` days later, a running sum over these few events gives the state after each, and the days between two events, which
-share one state, are filled in last. Work before the output is proportional to the amounts, not to days x window.
-``advance`` makes the next version from new arrivals and corrections, recomputing only the dates they can change.
+leaves ``w`` days later, a running sum over these few events gives the state after each, and the days between two events share one
+state, so state is kept as intervals and filled up with days last. Work before the output is proportional to the amounts.
+``RollingStore`` keeps dated versions: ``advance`` starts from yesterday's totals and recomputes only the dates that arrivals and
+corrections can change.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hoopflow.functions.ids import game_key
-from hoopflow.operators.deliveries import player_messages
+from hoopflow.functions.ids import game_key, key_part, message_key
+from hoopflow.operators.deliveries import arrival, is_total, never, player_messages
 from hoopflow.operators.references import game_days
+from hoopflow.streaming.commits import CommitLog
 
 MEASURES = ("val", "secs")
 
@@ -27,14 +29,6 @@ def seconds(minutes: Column) -> Column:
     )
 
 
-def game_amounts(box: DataFrame, header: DataFrame) -> DataFrame:
-    """Per player and day: val_sum, val_n, secs_sum, secs_n, games; each message counted once. Games without a date are left out."""
-    m = player_messages(box, "game_id", "valuation", "minutes")
-    m = m.select("player_code", game_key(F.col("game_id")).alias("game_key"), F.col("valuation").cast("long").alias("val"), seconds(F.col("minutes")).cast("long").alias("secs"))
-    m = m.join(game_days(header), "game_key").where(F.col("day").isNotNull() & F.col("player_code").isNotNull())
-    return daily(m.withColumnRenamed("player_code", "player_id"))
-
-
 def daily(rows: DataFrame, step: str = "day", *by: str) -> DataFrame:
     """Sums and non-null counts of the measures per entity and step."""
     return rows.groupBy("player_id", *by, step).agg(
@@ -46,30 +40,55 @@ def daily(rows: DataFrame, step: str = "day", *by: str) -> DataFrame:
 PARTS = [f"{k}_{p}" for k in MEASURES for p in ("sum", "n")] + ["games"]
 
 
-def trailing_state(amounts: DataFrame, windows: tuple[int, ...], step: str = "day", by: tuple[str, ...] = ()) -> DataFrame:
-    """One row per entity and step from its first amount until its longest window has run out: the sums of each trailing window.
+def later(step: str, n) -> Column:
+    """The step ``n`` after a row's own."""
+    return F.date_add(step, n) if step == "day" else F.col(step) + n
 
-    amounts: player_id, by..., step, and PARTS, at most one row per entity and step. Entities with one amount get max(windows) rows;
-    null entities form their own group; empty amounts give no rows.
-    """
-    entity = ["player_id", *by]
-    names = [f"{p}_{w}" for w in windows for p in PARTS]
-    # One row per entity and step moves once; events, sums and the running window all keep this partitioning.
-    amounts = amounts.repartition(*entity)
-    later = (lambda w: F.date_add(step, w)) if step == "day" else (lambda w: F.col(step) + w)
+
+def sums_of(windows: tuple[int, ...]) -> list[str]:
+    return [f"{p}_{w}" for w in windows for p in PARTS]
+
+
+def changes(amounts: DataFrame, windows: tuple[int, ...], step: str, entity: list[str]) -> DataFrame:
+    """Each amount enters all windows on its step and leaves each ``w`` steps later."""
 
     def event(at: Column, sign: dict[int, int]) -> Column:
         return F.struct(at.alias(step), *[(F.col(p) * sign.get(w, 0)).alias(f"{p}_{w}") for w in windows for p in PARTS])
 
-    events = amounts.select(
-        *entity, F.explode(F.array(event(F.col(step), {w: 1 for w in windows}), *[event(later(w), {w: -1}) for w in windows])).alias("e")
-    ).select(*entity, "e.*")
-    net = events.groupBy(*entity, step).agg(*[F.sum(n).alias(n) for n in names])
+    both = F.array(event(F.col(step), {w: 1 for w in windows}), *[event(later(step, w), {w: -1}) for w in windows])
+    return amounts.select(*entity, F.explode(both).alias("e")).select(*entity, "e.*")
+
+
+def running(events: DataFrame, windows: tuple[int, ...], step: str, entity: list[str], end: Column | None = None) -> DataFrame:
+    """entity..., step, until, sums: the state after each event, valid until the next one (the last until ``end``, or not at all)."""
+    names = sums_of(windows)
+    net = events.groupBy(*entity, step, *([] if end is None else ["_end"])).agg(*[F.sum(n).alias(n) for n in names])
     order = Window.partitionBy(*entity).orderBy(step)
-    running = order.rowsBetween(Window.unboundedPreceding, 0)
-    state = net.select(*entity, step, F.lead(step).over(order).alias("_next"), *[F.sum(n).over(running).alias(n) for n in names])
-    days = "sequence(day, date_sub(_next, 1))" if step == "day" else f"sequence({step}, _next - 1)"
-    return state.where(F.col("_next").isNotNull()).select(*entity, F.explode(F.expr(days)).alias(step), *names)
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    following = F.lead(step).over(order)
+    state = net.select(*entity, step, (following if end is None else F.coalesce(following, end)).alias("until"), *[F.sum(n).over(upto).alias(n) for n in names])
+    return state.where("until is not null")
+
+
+def trailing_intervals(amounts: DataFrame, windows: tuple[int, ...], step: str = "day", by: tuple[str, ...] = ()) -> DataFrame:
+    """The state of each entity from its first amount until its longest window has run out, as intervals [step, until).
+
+    amounts: player_id, by..., step, and PARTS, at most one row per entity and step. One row per entity and step moves once; events, sums
+    and the running window all keep this partitioning. Null entities form their own group; empty amounts give no rows.
+    """
+    entity = ["player_id", *by]
+    return running(changes(amounts.repartition(*entity), windows, step, entity), windows, step, entity)
+
+
+def expand(intervals: DataFrame, windows: tuple[int, ...], step: str = "day", by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per entity and step: the steps of an interval share its state."""
+    steps = "sequence(day, date_sub(until, 1))" if step == "day" else f"sequence({step}, until - 1)"
+    return intervals.select("player_id", *by, F.explode(F.expr(steps)).alias(step), *sums_of(windows))
+
+
+def trailing_state(amounts: DataFrame, windows: tuple[int, ...], step: str = "day", by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per entity and step, without versions. Entities with one amount get max(windows) rows."""
+    return expand(trailing_intervals(amounts, windows, step, by), windows, step, by)
 
 
 def report(state: DataFrame, windows: tuple[int, ...], step: str = "day", by: tuple[str, ...] = ()) -> DataFrame:
@@ -86,10 +105,6 @@ def report(state: DataFrame, windows: tuple[int, ...], step: str = "day", by: tu
     return state.select(*out)
 
 
-def trailing_days(box: DataFrame, header: DataFrame, windows: tuple[int, ...] = (7, 30)) -> DataFrame:
-    return report(trailing_state(game_amounts(box, header), windows), windows)
-
-
 def trailing_rounds(box: DataFrame, windows: tuple[int, ...] = (3, 5)) -> DataFrame:
     """The same over trailing values of ``round`` within a season, rounds without a game included."""
     m = player_messages(box, "season_code", "round", "valuation", "minutes")
@@ -100,38 +115,159 @@ def trailing_rounds(box: DataFrame, windows: tuple[int, ...] = (3, 5)) -> DataFr
     return report(trailing_state(daily(m, "round", "season_code"), windows, "round", ("season_code",)), windows, "round", ("season_code",))
 
 
-def merge_amounts(amounts: DataFrame, arrivals: DataFrame) -> DataFrame:
-    """Daily amounts after arrivals; a correction arrives as the difference to what was counted (it may be negative)."""
-    both = amounts.select("player_id", "day", *PARTS).unionByName(arrivals.select("player_id", "day", *PARTS))
-    merged = both.groupBy("player_id", "day").agg(*[F.sum(p).cast("long").alias(p) for p in PARTS])
-    return merged.where("games != 0")
+def summed(amounts: DataFrame) -> DataFrame:
+    """Amounts per player and day; corrections come as differences and may be negative."""
+    return amounts.groupBy("player_id", "day").agg(*[F.sum(p).cast("long").alias(p) for p in PARTS])
+
+
+def clip(intervals: DataFrame, ranges: DataFrame) -> DataFrame:
+    """What is left of intervals outside their player's range [lo, hi)."""
+    names = [c for c in intervals.columns if c not in ("player_id", "day", "until")]
+    pieces = F.array(F.struct("day", F.least("until", "lo").alias("until")), F.struct(F.greatest("day", "hi").alias("day"), F.col("until").alias("until")))
+    outside = F.filter(pieces, lambda x: x["day"] < x["until"])
+    whole = F.array(F.struct("day", "until"))
+    both = intervals.join(ranges, "player_id", "left").select("player_id", F.explode(F.when(F.col("lo").isNull(), whole).otherwise(outside)).alias("x"), *names)
+    return both.select("player_id", "x.day", "x.until", *names)
 
 
-def advance(version: DataFrame, amounts: DataFrame, arrivals: DataFrame, windows: tuple[int, ...] = (7, 30)) -> tuple[DataFrame, DataFrame]:
-    """The next version of the state and of the amounts.
+class RollingStore:
+    """Versions of the rolling state in the shared folder, as layers.
 
-    Only dates an arrival can change are recomputed: for entities that have arrivals, the days from the earliest changed day on that
-    lie in some window of a change. Everything else is taken over from ``version`` as it is. Entities whose span grows or shrinks
-    (a first, a last or a withdrawn game) are covered because their new days lie within the changed ranges or are filled up from the
-    recomputed span.
+    The first layer holds all intervals. Each later one holds the intervals of the dates that its arrivals could change, for the players
+    that had arrivals, and these players' ranges of dates; a version is read by laying its layers over each other. Rows of other
+    players and other dates are not written again, and older versions stay readable. After ``LAYERS`` layers a version is written
+    whole. A version counts once its commit record is there.
     """
-    longest = max(windows)
-    after = merge_amounts(amounts, arrivals)
-    touched = arrivals.groupBy("player_id").agg(F.min("day").alias("lo"), F.max(F.date_add("day", longest - 1)).alias("hi"))
-    near = after.join(touched, "player_id")
-    bounds = near.groupBy("player_id").agg(F.min("day").alias("first"), F.max("day").alias("last"))
-    within = near.where((F.col("day") >= F.date_sub("lo", longest - 1)) & (F.col("day") <= F.col("hi"))).drop("lo", "hi")
-    fresh = trailing_state(within, windows)
-    changed = fresh.join(touched, "player_id").where("day >= lo and day <= hi").drop("lo", "hi")
-    kept = version.join(touched, "player_id", "left").where("lo is null or day < lo or day > hi").drop("lo", "hi")
-    next_version = kept.unionByName(changed)
-    # Days of zeros that no event starts inside the range: gaps longer than the longest window.
-    names = [f"{p}_{w}" for w in windows for p in PARTS]
-    span = bounds.select("player_id", F.explode(F.expr(f"sequence(first, date_add(last, {longest - 1}))")).alias("day"))
-    missing = span.join(next_version.select("player_id", "day"), ["player_id", "day"], "left_anti")
-    zeros = missing.select("player_id", "day", *[F.lit(0).cast("long").alias(n) for n in names])
-    gone = bounds.select("player_id", "first", F.date_add("last", longest - 1).alias("end"))
-    whole = next_version.unionByName(zeros).join(gone, "player_id", "left")
-    alive = touched.join(bounds, "player_id", "left").where("first is null").select("player_id")
-    whole = whole.join(alive, "player_id", "left_anti").where("first is null or (day >= first and day <= end)").drop("first", "end")
-    return whole, after
+
+    LAYERS = 8
+
+    def __init__(self, spark: SparkSession, base: str, windows: tuple[int, ...] = (7, 30)) -> None:
+        self.spark, self.base, self.windows = spark, base.rstrip("/"), windows
+        self.log = CommitLog(spark, base)
+
+    def _at(self, kind: str, version: int) -> str:
+        return f"{self.base}/{kind}/v={version}"
+
+    def _put(self, df: DataFrame, kind: str, version: int) -> DataFrame:
+        df.write.mode("overwrite").parquet(self._at(kind, version))
+        return self._get(kind, version)
+
+    def _get(self, kind: str, version: int) -> DataFrame:
+        return self.spark.read.parquet(self._at(kind, version))
+
+    def versions(self) -> list[int]:
+        return self.log.versions()
+
+    def state(self, version: int | None = None) -> DataFrame:
+        """player_id, day, until, sums of a version (the newest if none is named)."""
+        first, *layers = self.log.record(self.versions()[-1] if version is None else version)["layers"]
+        out = self._get("state", first)
+        for v in layers:
+            out = clip(out, self._get("ranges", v)).unionByName(self._get("state", v))
+        return out
+
+    def amounts(self, version: int | None = None) -> DataFrame:
+        """The daily amounts a version has counted, corrections included."""
+        layers = self.log.record(self.versions()[-1] if version is None else version)["layers"]
+        return summed(self.spark.read.parquet(*[self._at("amounts", v) for v in layers])).where("games != 0")
+
+    def build(self, amounts: DataFrame) -> None:
+        """Version 0 from everything counted so far."""
+        kept = self._put(amounts.select("player_id", "day", *PARTS), "amounts", 0)
+        self._put(trailing_intervals(kept, self.windows), "state", 0)
+        self.log.commit(0, {"layers": [0]})
+
+    def advance(self, arrivals: DataFrame) -> int:
+        """The next version: yesterday's totals, plus what arrived, minus what expires, for the dates that arrivals can change.
+
+        arrivals: player_id, day, PARTS; a correction is the difference to what was counted. A player's range starts at the first changed
+        day and ends when the last changed day leaves the longest window; it reaches further where a first or last game comes or goes,
+        since the days between belong to the player's span or don't any more. The totals of the day before the range are taken from
+        the last version. Empty arrivals make a version that equals the one before.
+        """
+        version, longest, names = self.versions()[-1] + 1, max(self.windows), sums_of(self.windows)
+        layers = self.log.record(version - 1)["layers"]
+        changed = self._put(summed(arrivals), "amounts", version)
+        touched = changed.groupBy("player_id").agg(F.min("day").alias("from"), F.max("day").alias("to"))
+        before = self.state(version - 1).join(touched.select("player_id"), "player_id", "left_semi")
+        counted = self.spark.read.parquet(*[self._at("amounts", v) for v in [*layers, version]]).join(touched.select("player_id"), "player_id", "left_semi")
+        after = summed(counted).where("games != 0")
+        old = before.groupBy("player_id").agg(F.min("day").alias("first0"), F.max("until").alias("end0"))
+        new = after.groupBy("player_id").agg(F.min("day").alias("first1"), F.date_add(F.max("day"), longest).alias("end1"))
+        span = touched.join(old, "player_id", "left").join(new, "player_id", "left")
+        lo, hi = F.least("from", "end0", "end1"), F.greatest(F.date_add("to", longest), "first0", "first1", F.when(F.col("end1").isNull(), F.col("end0")))
+        ranges = self._put(span.select("player_id", lo.alias("lo"), hi.alias("hi"), "first1", "end1"), "ranges", version)
+        own = ranges.select("player_id", "lo", F.col("hi").alias("_end"))
+        yesterday = before.join(own, "player_id").where("day < lo and until >= lo").select("player_id", F.col("lo").alias("day"), "_end", *names)
+        start = own.select("player_id", F.col("lo").alias("day"), "_end", *[F.lit(0).cast("long").alias(n) for n in names])
+        moves = changes(after, self.windows, "day", ["player_id"]).join(own, "player_id").where("day >= lo and day < _end").select("player_id", "day", "_end", *names)
+        fresh = running(yesterday.unionByName(start).unionByName(moves), self.windows, "day", ["player_id"], F.col("_end")).join(ranges.select("player_id", "first1", "end1"), "player_id")
+        fresh = fresh.withColumn("day", F.greatest("day", "first1")).withColumn("until", F.least("until", "end1")).where("end1 is not null and day < until")
+        self._put(fresh.select("player_id", "day", "until", *names), "state", version)
+        self.log.commit(version, {"layers": [*layers, version]})
+        if len(layers) >= self.LAYERS:
+            self._whole(version)
+        return version
+
+    def _whole(self, version: int) -> None:
+        """Writes a version as one layer, under a number of its own, and lets its record name that one."""
+        own = -version
+        self._put(self.state(version), "state", own)
+        self._put(self.amounts(version), "amounts", own)
+        self.log.commit(version, {"layers": [own]})
+
+
+def versioned_amounts(box: DataFrame, header: DataFrame, edges: list) -> DataFrame:
+    """version, player_id, day, PARTS: what each stretch of loading time adds to, or corrects in, the daily amounts.
+
+    ``edges`` are loading times; version k knows the deliveries loaded up to the k-th. A message counts with its first delivery; one
+    that a later version replaces is taken back there. One aggregate per message gives all versions.
+    """
+    values = F.struct("game_id", "valuation", "minutes", "dorsal", "game")
+    at = F.coalesce(F.col("loaded_at").cast("timestamp_ntz"), never())
+    known = [F.lit(True) if e is None else at <= F.lit(e).cast("timestamp_ntz") for e in [*edges, None]]
+    first = box.where(F.col("game_player_id").isNotNull()).groupBy(message_key(F.col("game_player_id")).alias("message"))
+    if edges:
+        rows = first.agg(*[F.min(F.when(k, F.struct(arrival().alias("a"), values.alias("x")))).alias(f"v{i}") for i, k in enumerate(known)])
+    else:
+        rows = first.agg(F.min(F.struct(arrival().alias("a"), values.alias("x"))).alias("v0"))
+
+    def entry(i: int, j: int, sign: int) -> Column:
+        return F.struct(F.lit(i).alias("version"), F.lit(sign).alias("sign"), F.col(f"v{j}")["x"].alias("x"))
+
+    steps = [F.when(F.col("v0").isNotNull(), entry(0, 0, 1))]
+    for i in range(1, len(edges) + 1):
+        moved = ~F.col(f"v{i}")["a"].eqNullSafe(F.col(f"v{i - 1}")["a"])
+        steps += [F.when(moved & F.col(f"v{i - 1}").isNotNull(), entry(i, i - 1, -1)), F.when(moved, entry(i, i, 1))]
+    rows = rows.select(key_part(F.col("message"), 3).alias("player_id"), F.explode(F.filter(F.array(*steps), lambda s: s.isNotNull())).alias("s")).select("player_id", "s.version", "s.sign", "s.x.*")
+    rows = rows.where(F.col("player_id").isNotNull() & ~is_total(F.col("player_id"), F.col("dorsal"), F.col("game")))
+    rows = rows.select("version", "sign", "player_id", game_key(F.col("game_id")).alias("game_key"), F.col("valuation").cast("long").alias("val"), seconds(F.col("minutes")).cast("long").alias("secs"))
+    rows = rows.join(game_days(header), "game_key").where(F.col("day").isNotNull())
+    signed = [a for k in MEASURES for a in (F.coalesce(F.sum(F.col(k) * F.col("sign")), F.lit(0)).cast("long").alias(f"{k}_sum"), F.coalesce(F.sum(F.when(F.col(k).isNotNull(), F.col("sign"))), F.lit(0)).cast("long").alias(f"{k}_n"))]
+    return rows.groupBy("player_id", "version", "day").agg(*signed, F.sum("sign").cast("long").alias("games"))
+
+
+def loading_edges(box: DataFrame, shares: tuple[float, ...]) -> list:
+    """The loading times up to which these shares of the rows had come."""
+    micros = F.unix_micros(F.col("loaded_at").cast("timestamp"))
+    found = box.agg(F.percentile_approx(micros, list(shares), 1000).alias("e")).first()["e"] if shares else None
+    return [r[0] for r in box.sparkSession.range(1).select(F.explode(F.array(*[F.timestamp_micros(F.lit(e)).cast("timestamp_ntz") for e in found]))).collect()] if found else []
+
+
+def build_versions(box: DataFrame, header: DataFrame, base: str, shares: tuple[float, ...], windows: tuple[int, ...] = (7, 30)) -> RollingStore:
+    """A store with a version for each of the shares of the deliveries, in the order they were loaded, and one for all of them."""
+    spark, edges = box.sparkSession, loading_edges(box, shares)
+    store = RollingStore(spark, base, windows)
+    parts = versioned_amounts(box, header, edges)
+    if edges:
+        parts.write.mode("overwrite").partitionBy("version").parquet(f"{store.base}/arrivals")
+        parts = spark.read.schema("player_id string, day date, " + ", ".join(f"{p} long" for p in PARTS) + ", version int").parquet(f"{store.base}/arrivals")
+    store.build(parts.where("version = 0"))
+    for i in range(1, len(edges) + 1):
+        store.advance(parts.where(f"version = {i}"))
+    return store
+
+
+def trailing_days(box: DataFrame, header: DataFrame, base: str, shares: tuple[float, ...] = (0.95,), windows: tuple[int, ...] = (7, 30)) -> DataFrame:
+    """The report of the newest version, built from the deliveries in the order they were loaded."""
+    return report(expand(build_versions(box, header, base, shares, windows).state(), windows), windows)

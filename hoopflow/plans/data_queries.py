@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hoopflow.operators import references, rolling
 from hoopflow.session import table, work_dir
-from hoopflow.streaming.seen import drop_repeats
+from hoopflow.streaming.seen import repeats
 
 
 def _four(spark: SparkSession, d: str) -> list[DataFrame]:
@@ -22,7 +22,13 @@ def p2_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_trailing_days(spark: SparkSession, d: str) -> DataFrame:
-    return rolling.trailing_days(table(spark, d, "euroleague_box_score"), table(spark, d, "euroleague_game_header"))
+    """The newest of two versions: most deliveries in the first, the last ones as arrivals."""
+    return rolling.trailing_days(table(spark, d, "euroleague_box_score"), table(spark, d, "euroleague_game_header"), work_dir(spark, "rolling"))
+
+
+def p4_versions(spark: SparkSession, d: str) -> DataFrame:
+    """The same through four versions, the later ones made of arrivals and corrections."""
+    return rolling.trailing_days(table(spark, d, "euroleague_box_score"), table(spark, d, "euroleague_game_header"), work_dir(spark, "rolling"), (0.4, 0.7, 0.9))
 
 
 def p4_trailing_rounds(spark: SparkSession, d: str) -> DataFrame:
@@ -30,10 +36,10 @@ def p4_trailing_rounds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return drop_repeats(spark, f"{d}/euroleague_box_score.parquet", work_dir(spark, "seen"))
+    return repeats(table(spark, d, "euroleague_box_score"), work_dir(spark, "seen"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_counts, p4_trailing_days, p4_trailing_rounds, p5_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_counts, p4_trailing_days, p4_versions, p4_trailing_rounds, p5_found)}
 
 #: Shared parts of the SQL: canonical games and messages, and the first delivery of each player message.
 _GAME = r"regexp_replace(upper(regexp_replace({c}, '[\s\x{{00a0}}]+', '', 'g')), '^([A-Z]+[0-9]+)[^A-Z0-9]+0*([0-9]+)$', '\1_\2')"
@@ -81,16 +87,18 @@ def _trailing(windows: tuple[int, ...], at: str, by: str = "") -> str:
     return f"select {keys}, {body} from spine s left join amounts a on {same} group by {keys.replace('s.', 's.')}"
 
 
+_P4 = f"""with {_FIRST},
+amounts as (select player_id, day, coalesce(sum(val), 0) as val_sum, count(val) as val_n, coalesce(sum(secs), 0) as secs_sum, count(secs) as secs_n, count(*) as games
+  from played join days using (game_key) where day is not null group by all),
+spine as (select player_id, cast(unnest(generate_series(min(day), max(day) + 29, interval 1 day)) as date) as day from amounts group by player_id)
+{_trailing((7, 30), "day")}"""
 SQL = {
     "p2_found": f"with {_ORPHANS} select table_name, season_code, row_key from lost",
     "p2_counts": f"""with {_ORPHANS}, t as (select table_name, season_code, count(*) as n_references from refs where ref is not null group by all),
 l as (select table_name, season_code, count(*) as n_orphans from lost group by all)
 select t.table_name, t.season_code, n_references, coalesce(n_orphans, 0) as n_orphans from t left join l on t.table_name = l.table_name and t.season_code is not distinct from l.season_code""",
-    "p4_trailing_days": f"""with {_FIRST},
-amounts as (select player_id, day, coalesce(sum(val), 0) as val_sum, count(val) as val_n, coalesce(sum(secs), 0) as secs_sum, count(secs) as secs_n, count(*) as games
-  from played join days using (game_key) where day is not null group by all),
-spine as (select player_id, cast(unnest(generate_series(min(day), max(day) + 29, interval 1 day)) as date) as day from amounts group by player_id)
-{_trailing((7, 30), "day")}""",
+    "p4_trailing_days": _P4,
+    "p4_versions": _P4,
     "p4_trailing_rounds": f"""with {_FIRST},
 amounts as (select player_id, season_code, round, coalesce(sum(val), 0) as val_sum, count(val) as val_n, coalesce(sum(secs), 0) as secs_sum, count(secs) as secs_n, count(*) as games
   from played where round is not null group by all),

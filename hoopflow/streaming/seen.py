@@ -1,10 +1,12 @@
 """Messages delivered more than once, as a stream with a keyed state store of seen identifiers.
 
 Every micro-batch commits one version: the new *hot* state (identifiers whose event time is within the watermark), the identifiers
-that *expired* from it (written to an archive by season, where late arrivals are looked up), the numbers of the deliveries to
-*drop*, and last a commit record with the watermark. Readers only see versions that have their commit record, and a replayed
-batch overwrites its own version, so state and output are checkpointed together. A delivery that precedes the one kept so far
-takes its place, and the displaced one is dropped: the result doesn't depend on the order of arrival or on the batch size.
+that *expired* from it (added to an archive by season, where late arrivals are looked up), the numbers of the deliveries to
+*drop*, and last a commit record that names the watermark, the hot state and the archive's segments. Only what a commit record
+names is read, and a replayed batch overwrites its own version, so state and output are checkpointed together. A delivery that
+precedes the one kept so far takes its place, and the displaced one is dropped: the result doesn't depend on the order of arrival
+or on the batches. The archive is merged by levels (``FAN`` segments of a level become one of the next), so there are few segments
+and each identifier is rewritten a logarithmic number of times. What only older records than the last two name is deleted.
 """
 
 from __future__ import annotations
@@ -13,11 +15,14 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hoopflow.functions.ids import message_key, season_of
 from hoopflow.operators.deliveries import never
+from hoopflow.streaming.commits import CommitLog
 
 STATE = "message string, at timestamp_ntz, id long"
+FAN = 8
 
 
 def deliveries(df: DataFrame) -> DataFrame:
@@ -34,89 +39,92 @@ class SeenStore:
 
     def __init__(self, spark: SparkSession, base: str, keep_days: int = 30) -> None:
         self.spark, self.base, self.keep_days = spark, base.rstrip("/"), keep_days
-        self._fs = spark._jvm.org.apache.hadoop.fs.Path(self.base).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.log = CommitLog(spark, base)
 
-    def _path(self, *parts: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.base, *parts)))
+    def versions(self) -> list[int]:
+        return self.log.versions()
 
-    def _at(self, kind: str, version: int) -> str:
-        return f"{self.base}/{kind}/v={version}"
+    def record(self, version: int) -> dict:
+        """watermark, hot (a folder), and archive ([level, folder] of each segment) of a committed version."""
+        return self.log.record(version)
 
-    def versions(self) -> list[int]:
-        """The committed versions, oldest first."""
-        at = self._path("commits")
-        return sorted(int(s.getPath().getName()) for s in self._fs.listStatus(at)) if self._fs.exists(at) else []
-
-    def _commit(self, version: int, watermark: str) -> None:
-        temporary, final = self._path("pending", str(version)), self._path("commits", str(version))
-        out = self._fs.create(temporary, True)
-        out.write(bytearray(watermark.encode()))
-        out.close()
-        self._fs.mkdirs(final.getParent())
-        self._fs.delete(final, False)
-        self._fs.rename(temporary, final)
-
-    def _read(self, kind: str, versions: list[int]) -> DataFrame:
-        found = [f"{self.base}/{kind}/v={v}" for v in versions if self._fs.exists(self._path(kind, f"v={v}"))]
-        if not found:
-            return self.spark.createDataFrame([], STATE + ", season string")
-        return self.spark.read.schema(STATE + ", v long" + ", season string" * (kind == "expired")).option("basePath", f"{self.base}/{kind}").parquet(*found)
+    def _state(self, folder: str | None) -> DataFrame:
+        if folder is None:
+            return self.spark.createDataFrame([], STATE)
+        return self.spark.read.schema(STATE).parquet(f"{self.base}/{folder}")
+
+    def archived(self, segments: list) -> DataFrame:
+        """message, at, id, season of the archive's segments; seasons are folders, so a lookup opens only those it needs."""
+        rows = self.spark.createDataFrame([], STATE + ", season string")
+        for _, folder in segments:
+            at = f"{self.base}/{folder}"
+            rows = rows.unionByName(self.spark.read.schema(STATE + ", season string").option("basePath", at).parquet(at))
+        return rows
 
     def process(self, batch: DataFrame, version: int) -> None:
-        """One micro-batch: drop list, next state and commit."""
+        """One micro-batch: drop list, next state and commit. The batch is read twice: for its messages, and for the copies among them."""
         done = [v for v in self.versions() if v < version]
+        last = self.record(done[-1]) if done else {"watermark": "", "hot": None, "archive": []}
         new = deliveries(batch)
-        first = new.groupBy("message").agg(F.min(F.struct("at", "id")).alias("first"), F.count(F.lit(1)).alias("n"))
-        if done:
-            first = first.persist()
-            # Seasons are few; they prune the archive's folders for the late-arrival lookup.
-            seasons = first.select(season_of(F.col("message")).alias("season")).distinct()
-            hot = self._read("hot", done[-1:]).select("message", "at", "id")
-            late = self._read("expired", done).join(seasons, "season", "left_semi").select("message", "at", "id")
-            seen = hot.unionByName(late).groupBy("message").agg(F.min(F.struct("at", "id")).alias("seen"))
-            known = first.join(seen, "message", "left")
-        else:
-            hot = self.spark.createDataFrame([], STATE)
-            known = first.withColumn("seen", F.lit(None).cast("struct<at: timestamp_ntz, id: long>"))
-        again = known.where("n > 1 or seen is not null").select("message", "n", "seen", F.least("first", "seen").alias("kept"))
+        newest = F.max(F.when(F.col("at") < never(), F.col("at")))
+        first = new.groupBy("message").agg(F.min(F.struct("at", "id")).alias("first"), F.count(F.lit(1)).alias("n"), newest.alias("newest")).persist()
+        # Seasons are few; they prune the archive's folders for the late-arrival lookup.
+        seasons = first.select(season_of(F.col("message")).alias("season")).distinct()
+        hot = self._state(last["hot"])
+        seen = hot.select("message", F.struct("at", "id").alias("seen"))
+        if last["archive"]:
+            late = self.archived(last["archive"]).join(seasons, "season", "left_semi").select("message", F.struct("at", "id").alias("seen"))
+            seen = seen.unionByName(late)
+        known = first.join(seen.groupBy("message").agg(F.min("seen").alias("seen")), "message", "left") if done else first.withColumn("seen", F.lit(None).cast("struct<at: timestamp_ntz, id: long>"))
+        again = known.where("n > 1 or seen is not null").select("message", "seen", F.least("first", "seen").alias("kept"))
         repeated = new.join(again.select("message", "kept"), "message").where("id != kept.id").select("id")
         displaced = again.where("seen.id != kept.id").select(F.col("seen.id").alias("id"))
-        repeated.unionByName(displaced).write.mode("overwrite").parquet(self._at("dropped", version))
+        repeated.unionByName(displaced).write.mode("overwrite").parquet(f"{self.base}/dropped/v={version}")
 
         # Rows are only ever added to the state; of several rows of one message the smallest counts.
         entries = known.where("seen is null or first < seen").select("message", "first.at", "first.id").unionByName(hot)
-        newest = new.where(F.col("at") < never()).agg(F.max("at").alias("t")).first()["t"]
-        before = max((self._watermark(v) for v in done), default="")
-        mark = max(before, str(newest - timedelta(days=self.keep_days)) if newest else "")
+        top = first.agg(F.max("newest").alias("t")).first()["t"]
+        mark = max(last["watermark"], str(top - timedelta(days=self.keep_days)) if top else "")
         live = F.col("at") >= F.lit(mark).cast("timestamp_ntz") if mark else F.lit(True)
-        entries.where(live).write.mode("overwrite").parquet(self._at("hot", version))
-        entries.where(~live).withColumn("season", season_of(F.col("message"))).write.mode("overwrite").partitionBy("season").parquet(self._at("expired", version))
-        self._commit(version, mark)
-        if done:
-            first.unpersist()
-
-    def _watermark(self, version: int) -> str:
-        stream = self._fs.open(self._path("commits", str(version)))
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
+        entries.where(live).write.mode("overwrite").parquet(f"{self.base}/hot/v={version}")
+        gone = entries.where(~live).withColumn("season", season_of(F.col("message")))
+        gone.hint("rebalance", "season").write.mode("overwrite").partitionBy("season").parquet(f"{self.base}/expired/v={version}")
+        segments = [*last["archive"], [0, f"expired/v={version}"]]
+        self.log.commit(version, {"watermark": mark, "hot": f"hot/v={version}", "archive": self._merged(segments, version)})
+        self._clean(version)
+        first.unpersist()
+
+    def _merged(self, segments: list, version: int) -> list:
+        """The segments after merging; a merged segment is a new folder, the old ones stay until no kept record names them."""
+        level = 0
+        while len(full := [s for s in segments if s[0] == level]) >= FAN:
+            folder = f"expired/v={version}-level={level + 1}"
+            self.archived(full).hint("rebalance", "season").write.mode("overwrite").partitionBy("season").parquet(f"{self.base}/{folder}")
+            segments = [s for s in segments if s[0] != level] + [[level + 1, folder]]
+            level += 1
+        return segments
+
+    def _clean(self, version: int) -> None:
+        """Deletes hot states and archive segments that neither of the last two records names."""
+        kept = [self.record(v) for v in [v for v in self.versions() if v <= version][-2:]]
+        named = {r["hot"] for r in kept} | {s[1] for r in kept for s in r["archive"]}
+        for kind in ("hot", "expired"):
+            self.log.keep_only(kind, named)
 
     def dropped(self) -> DataFrame:
         """The deliveries to drop, from committed versions; each occurs once."""
-        done = self.versions()
-        paths = [self._at("dropped", v) for v in done]
+        paths = [f"{self.base}/dropped/v={v}" for v in self.versions()]
         frame = self.spark.read.schema("id long").parquet(*paths) if paths else self.spark.createDataFrame([], "id long")
         return frame.select(F.col("id").alias("delivery_id")).distinct()
 
 
-def drop_repeats(spark: SparkSession, path: str, base: str, keep_days: int = 30, bytes_per_batch: int = 512 << 20, files_per_batch: int | None = None) -> DataFrame:
+def drop_repeats(spark: SparkSession, path: str, base: str, keep_days: int = 30, bytes_per_batch: int = 512 << 20, files_per_batch: int | None = None, schema: StructType | None = None) -> DataFrame:
     """Runs the stream over all files at ``path`` to its end and returns the deliveries to drop.
 
     Equal loading times are decided by the smaller delivery number; a null loading time comes last. An empty table gives no rows.
     A second call with the same ``base`` continues from the checkpoint and reads only new files.
     """
-    schema = spark.read.parquet(path).select("game_player_id", "delivery_id", "loaded_at").schema
+    schema = schema or spark.read.parquet(path).select("game_player_id", "delivery_id", "loaded_at").schema
     store = SeenStore(spark, base, keep_days)
     reader = spark.readStream.schema(schema)
     reader = reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader.option("maxBytesPerTrigger", bytes_per_batch)
@@ -124,7 +132,7 @@ def drop_repeats(spark: SparkSession, path: str, base: str, keep_days: int = 30,
     if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop).isFile():
         stream = reader.option("pathGlobFilter", hadoop.getName()).parquet(str(hadoop.getParent()))
     else:
-        stream = reader.parquet(path)
+        stream = reader.option("recursiveFileLookup", "true").parquet(path)
     query = (
         stream.writeStream.foreachBatch(lambda df, i: store.process(df, i))
         .option("checkpointLocation", f"{store.base}/offsets")
@@ -133,3 +141,34 @@ def drop_repeats(spark: SparkSession, path: str, base: str, keep_days: int = 30,
     )
     query.awaitTermination()
     return store.dropped()
+
+
+def land_by_arrival(box: DataFrame, folder: str, periods: int = 4) -> int:
+    """Lays a table's deliveries out as they came in: ``periods`` stretches of loading time with about as many rows each, deliveries
+    without a loading time in the last. Returns how many files a stretch has at most, 0 for an empty table.
+
+    The stream takes files by their time of modification, so the stretches get rising ones. Where a file system can't set them they
+    come in another order; the result is the same, only more identifiers are looked up in the archive.
+    """
+    spark = box.sparkSession
+    at = F.unix_micros(F.col("loaded_at").cast("timestamp"))
+    edges = box.agg(F.percentile_approx(at, [k / periods for k in range(1, periods)], 1000).alias("e")).first()["e"] or []
+    period = sum((F.when(F.coalesce(at, F.lit(1 << 62)) > e, 1).otherwise(0) for e in edges), F.lit(0))
+    box.select("game_player_id", "delivery_id", "loaded_at", period.alias("period")).write.mode("overwrite").partitionBy("period").parquet(folder)
+    fs = spark._jvm.org.apache.hadoop.fs
+    top = fs.Path(folder)
+    system = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    most = 0
+    for p in (s.getPath() for s in system.listStatus(top) if s.isDirectory()):
+        files = [f.getPath() for f in system.listStatus(p) if f.getPath().getName().endswith(".parquet")]
+        most = max(most, len(files))
+        for f in files:
+            system.setTimes(f, 1_000_000_000_000 + 60_000 * int(p.getName().partition("=")[2]), -1)
+    return most
+
+
+def repeats(box: DataFrame, base: str, periods: int = 4) -> DataFrame:
+    """The deliveries to drop from a whole table: it lands in stretches of loading time, and the stream takes about one a batch."""
+    files = land_by_arrival(box, f"{base}/landed", periods)
+    schema = box.select("game_player_id", "delivery_id", "loaded_at").schema
+    return drop_repeats(box.sparkSession, f"{base}/landed", base, files_per_batch=files, schema=schema) if files else SeenStore(box.sparkSession, base).dropped()

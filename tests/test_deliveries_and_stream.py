@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from hoopflow.functions.ids import game_key, message_key, reference
 from hoopflow.operators.deliveries import first_deliveries, player_messages
 from hoopflow.session import work_dir
-from hoopflow.streaming.seen import SeenStore, drop_repeats
+from hoopflow.streaming.seen import SeenStore, drop_repeats, repeats
 
 BOX = "game_player_id string, game_id string, game string, dorsal string, delivery_id long, loaded_at timestamp_ntz, valuation int, delivery_ids string"
 
@@ -49,7 +49,7 @@ def test_total_rows_are_no_players(spark):
     assert {r["player_code"] for r in player_messages(rows(spark, DATA), "delivery_id").collect()} == {"P1", None}
 
 
-@pytest.mark.parametrize(("files", "keep_days"), [(3, 0), (4, 2), (10, 30)])
+@pytest.mark.parametrize(("files", "keep_days"), [(1, 0), (3, 0), (3, 30), (4, 2), (10, 30)])
 def test_stream_drops_all_but_the_first(spark, tmp_path, files, keep_days):
     for k, r in enumerate(DATA):  # one file per delivery, later ones first
         rows(spark, [r]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
@@ -66,6 +66,25 @@ def test_a_replayed_batch_changes_nothing(spark):
     assert sorted(r["delivery_id"] for r in store.dropped().collect()) == once == [2, 3, 5, 6]
 
 
+def test_the_archive_is_merged_and_old_state_goes(spark):
+    store = SeenStore(spark, work_dir(spark, "t"), 0)
+    for k in range(10):
+        store.process(rows(spark, [(f"E2020_{k}_P1", "E2020_1", "AAA-BBB", "7", k, at(1 + k), 5), (f"E2020_{k // 2}_P1", "E2020_1", "AAA-BBB", "7", 100 + k, at(1 + k), 5)]), k)
+    last = store.record(9)
+    assert len(last["archive"]) < 10 and max(level for level, _ in last["archive"]) >= 1
+    assert sorted(r["id"] for r in store.archived(last["archive"]).unionByName(store._state(last["hot"]).selectExpr("*", "'' as season")).collect()) == list(range(10))
+    assert {r["delivery_id"] for r in store.dropped().collect()} == {100 + k for k in range(10)}
+    assert len(store.log.fs.listStatus(store.log.path("hot"))) == 2
+
+
+def test_a_table_lands_in_several_batches(spark):
+    base = work_dir(spark, "t")
+    got = repeats(rows(spark, DATA), base)
+    assert sorted(r["delivery_id"] for r in got.collect()) == [2, 3, 5, 6]
+    assert len(SeenStore(spark, base).versions()) > 1
+    assert repeats(rows(spark, []), work_dir(spark, "t")).count() == 0
+
+
 def test_empty_stream(spark, tmp_path):
     rows(spark, []).write.parquet(str(tmp_path / "in"))
     assert drop_repeats(spark, str(tmp_path / "in"), work_dir(spark, "t")).count() == 0
