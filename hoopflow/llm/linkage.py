@@ -1,149 +1,23 @@
 """Matching entities across sources without keys: decisions about names and players of the box score.
 
 Heuristic matching functions vote on each candidate pair (spelling, shirt number, club, former club, season, the confirmed or
-refused name, remarks). A generative model explains the votes by an unseen match: each function has its own accuracy, and functions
-that repeat each other are tied in a tree of dependences, so their agreement counts once. It is fitted by expectation maximisation
-on the counts of vote patterns over all pairs; its posterior is a pair's confidence.
+refused name, remarks); the label model explains the votes by an unseen match and gives each pair a confidence, which is shared out
+among a decision's candidates because a decision means one person at most.
 """
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hoopflow.llm import names, people
+from hoopflow.llm import names
 
-#: The functions and the values each can vote; their product bounds the number of patterns, whatever the data.
-LEVELS = {
-    "family_level": (-1, 0, 1), "given_level": (-1, 0, 1, 2), "alone_votes": (0, 1), "dorsal_votes": (-2, 0, 2), "club_votes": (-1, 0, 1, 2), "before_votes": (-1, 0, 1),
-    "season_votes": (-2, -1, 0, 1), "full_votes": (-2, 0, 1, 2), "turned_votes": (-1, 0, 1), "absent_votes": (-2, 0),
-}
-#: Where the fit starts: what a vote is worth before anything is learnt, and the sum at which a match is an even bet.
-START = {"family_level": 0.5, "given_level": 0.5, "alone_votes": 0.7, "dorsal_votes": 2.5, "club_votes": 1.5, "before_votes": 1.0, "season_votes": 0.8, "full_votes": 1.0, "turned_votes": 0.2, "absent_votes": 2.5}
-EVEN = 2.5
-TIED = 0.02
 
-
-class LabelModel:
-    """Class-conditional vote tables with at most one parent per function, learnt without labels."""
-
-    def __init__(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = 60) -> None:
-        self.sizes = [len(v) for v in LEVELS.values()]
-        self.x, self.n = patterns, counts.astype("float64")
-        start = sum(w * np.array(v)[patterns[:, k]] for k, (v, w) in enumerate(zip(LEVELS.values(), START.values())))
-        self.q = 1 / (1 + np.exp(-(start - EVEN)))
-        self.parent = [-1] * len(self.sizes)
-        self._fit(rounds)
-        self.parent = self._tree()
-        self._fit(rounds)
-
-    def _table(self, k: int, weight: np.ndarray) -> np.ndarray:
-        """P(vote k | parent's vote), smoothed towards the vote's own distribution so rare parents don't speak for themselves."""
-        own = np.bincount(self.x[:, k], weight, self.sizes[k]) + 0.5
-        own /= own.sum()
-        p = self.parent[k]
-        if p < 0:
-            return own[None, :]
-        t = np.zeros((self.sizes[p], self.sizes[k]))
-        np.add.at(t, (self.x[:, p], self.x[:, k]), weight)
-        t += 5.0 * own
-        return t / t.sum(axis=1, keepdims=True)
-
-    def _fit(self, rounds: int) -> None:
-        for _ in range(rounds):
-            score = []
-            for w in (self.n * (1 - self.q), self.n * self.q):
-                s = np.full(len(self.n), np.log((w.sum() + 1) / (self.n.sum() + 2)))
-                for k in range(len(self.sizes)):
-                    t, p = np.log(self._table(k, w)), self.parent[k]
-                    s += t[self.x[:, p] if p >= 0 else 0, self.x[:, k]]
-                score.append(s)
-            q = 1 / (1 + np.exp(np.clip(score[0] - score[1], -50, 50)))
-            if np.abs(q - self.q).max() < 1e-6:
-                break
-            self.q = q
-
-    def _information(self, j: int, k: int) -> float:
-        """Mutual information of two functions' votes given the match."""
-        total = 0.0
-        for w in (self.n * (1 - self.q), self.n * self.q):
-            t = np.zeros((self.sizes[j], self.sizes[k]))
-            np.add.at(t, (self.x[:, j], self.x[:, k]), w)
-            if t.sum() <= 0:
-                continue
-            share = t.sum() / self.n.sum()
-            t /= t.sum()
-            free = t.sum(1, keepdims=True) @ t.sum(0, keepdims=True)
-            on = t > 0
-            total += share * float((t[on] * np.log(t[on] / free[on])).sum())
-        return total
-
-    def _tree(self) -> list[int]:
-        """A forest over the most dependent pairs of functions."""
-        k = len(self.sizes)
-        edges = sorted(((self._information(i, j), i, j) for i in range(k) for j in range(i)), reverse=True)
-        group, near = list(range(k)), {i: [] for i in range(k)}
-        for strength, i, j in edges:
-            if strength > TIED and group[i] != group[j]:
-                old = group[j]
-                group = [group[i] if g == old else g for g in group]
-                near[i].append(j)
-                near[j].append(i)
-        parent, seen = [-1] * k, set()
-        for root in range(k):
-            stack = [] if root in seen else [root]
-            while stack:
-                at = stack.pop()
-                seen.add(at)
-                for to in near[at]:
-                    if to not in seen:
-                        parent[to] = at
-                        stack.append(to)
-        return parent
-
-    def accuracies(self) -> dict[str, float]:
-        """How often a function that votes votes as the match has it."""
-        out = {}
-        for k, (name, values) in enumerate(LEVELS.items()):
-            v = np.array(values)[self.x[:, k]]
-            said = v != 0
-            right = np.where(v > 0, self.q, 1 - self.q)
-            out[name] = float((self.n * right)[said].sum() / max(1e-9, self.n[said].sum()))
-        return out
-
-
-def levelled(candidates: DataFrame) -> DataFrame:
-    given = F.when(F.col("given") >= 0.85, 2).when(F.col("given") >= 0.6, 1).when(F.col("given") >= 0.4, 0).otherwise(-1)
-    level = (F.col("family") >= 0.99).cast("int") - (F.col("extra") > 0).cast("int")
-    return candidates.withColumn("family_level", level).withColumn("given_level", given)
-
-
-def confidences(candidates: DataFrame) -> DataFrame:
-    """The candidates with their posterior ``confidence``. Patterns, at most the product of the levels, come to the driver; pairs never."""
-    c = levelled(candidates)
-    rows = c.groupBy(*LEVELS).count().orderBy(*LEVELS).collect()
-    if not rows:
-        return c.withColumn("confidence", F.lit(0.0))
-    place = [{v: i for i, v in enumerate(values)} for values in LEVELS.values()]
-    x = np.array([[p[r[k]] for p, k in zip(place, LEVELS)] for r in rows])
-    model = LabelModel(x, np.array([r["count"] for r in rows]))
-    learnt = c.sparkSession.createDataFrame([(*[int(r[k]) for k in LEVELS], float(q)) for r, q in zip(rows, model.q)], ", ".join(f"{k} int" for k in LEVELS) + ", confidence double")
-    return c.join(F.broadcast(learnt), list(LEVELS))
-
-
-def matches(box: DataFrame, table: DataFrame, clubs: DataFrame, least: float = 0.5) -> DataFrame:
+def matches(box: DataFrame, table: DataFrame, clubs: DataFrame, players: DataFrame | None = None) -> DataFrame:
     """decision_id, player_id, confidence: every registration of the person a decision most likely means.
 
-    A decision means one person at most: the most confident, of several equal ones the one whose votes and spelling are better, then
-    the smaller. Pairs below ``least`` are no matches. Empty tables and decisions without a usable name give no rows.
+    Pairs of less than an even chance are no matches, so of several equally likely persons none is one. Empty tables and decisions
+    without a usable name give no rows; equal rows give one.
     """
-    label, whole, spelled = names.persons(box)
-    scored = confidences(names.decision_candidates(people.decisions(table, clubs, box), whole, spelled))
-    sum_votes: Column = sum((F.col(k) for k in LEVELS), F.lit(0)) + F.col("given")
-    # Remarks that a player has no games speak of someone whom the box score doesn't have, unless the shirt number says otherwise.
-    best = scored.where((F.col("confidence") >= least) & ((F.col("absent_votes") == 0) | (F.col("dorsal_votes") > 0))).groupBy("decision_id").agg(
-        F.min_by(F.struct("person", "confidence"), F.struct(-F.round("confidence", 3), -sum_votes, F.col("person"))).alias("b")
-    )
-    chosen = best.select("decision_id", "b.person", "b.confidence")
-    return chosen.join(label, "person").select("decision_id", F.col("pid").alias("player_id"), "confidence").distinct()
+    label, _, attached, _ = names.linked(box, table, clubs, players)
+    return attached.join(label, "person").select("decision_id", F.col("pid").alias("player_id"), "confidence").distinct()

@@ -1,55 +1,123 @@
 """Variant spellings of names typed by people.
 
-Distinct spellings meet through a symmetric-delete index on their tokens: two tokens one edit apart share a string that is left
-after deleting a letter from each. Spellings that meet are aligned token by token with the best assignment, in which initials,
-abbreviations and short forms may stand for a token. Spellings that align are then held against what is known of the people.
-The index is over distinct spellings within a league (and shirt number, for registrations), never over rows, so a name that a third
-of all rows carry is one entry; hot names spread over the shirt number, club and season that a pair of rows must share.
+Distinct tokens meet through a symmetric-delete index: two tokens few edits apart share a string that is left after deleting letters
+from each. Names that have such a token in common, and beginnings of another, are aligned by the best assignment of their tokens, in
+which initials, abbreviations and short forms may stand for a token; short forms are learnt from spellings known to be one person's.
+What else the rows say of two aligned names (shirt number, years, clubs, games played together) are votes, and a generative model
+that is fitted without labels says which pairs are one person.
+
+No name pairs all its rows: rows meet on a name's tokens together with a piece of evidence (shirt number, club and year, or league
+and year), each evidence a join of its own, so a name or a given name that a third of all rows carry spreads over these.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hoopflow.llm import people
-from hoopflow.llm.spelling import align, keys
+from hoopflow.llm.labelmodel import posterior
+from hoopflow.llm.spelling import LEARNT, LIKE, SAME, align, keys, token_score
 from hoopflow.session import cut
 
-FAMILY, GIVEN = 0.8, 0.5
-#: years between two registrations of one person; and the most where nothing but name and number speaks for it
-NEAR, FAR = 1, 3
+#: Spellings of so many different people must show a short form before it counts.
+SHOWN = 2
+#: The score of different tokens that don't even have two letters in common.
+UNLIKE = -2.0
 
 
-def spelling_pairs(left: DataFrame, right: DataFrame, by: list[str], given: float = GIVEN) -> DataFrame:
-    """by..., name_a, name_b, family, given, extra: aligned spellings of two tables of distinct (by..., name), equal ones included.
-
-    Each spelling is listed under its keys and pairs are made per key; every pair that shares a key is aligned once.
-    """
+def token_pairs(names: DataFrame) -> DataFrame:
+    """a, b: tokens of ``name`` that are one token spelled twice, both ways round, equal ones included. Single letters are left out."""
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b = b.assign(key=[sorted(keys(n)) for n in b["name"]])
-            yield b.explode("key", ignore_index=True).dropna(subset=["key"])
+            yield b.assign(key=[sorted(keys(t)) for t in b["token"]]).explode("key", ignore_index=True).dropna(subset=["key"])
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b[[token_score(x, y) >= SAME for x, y in zip(b["a"], b["b"])]]
+
+    tokens = cut(names.select(F.explode(F.split("name", " ")).alias("token")).where("length(token) > 1").distinct())
+    listed = tokens.mapInPandas(index, "token string, key string")
+    met = listed.withColumnRenamed("token", "a").join(listed.withColumnRenamed("token", "b"), "key").where("a < b").select("a", "b").distinct()
+    near = met.mapInPandas(score, "a string, b string")
+    return cut(near.union(near.select("b", "a")).union(tokens.select("token", F.col("token").alias("x"))))
+
+
+def listed(df: DataFrame, begins: bool) -> DataFrame:
+    """The rows once for each token of ``name`` and, if ``begins``, for each of the first two letters of its other tokens (any letter, where
+    there are none): two aligned names agree in both for some token."""
+    t = F.split("name", " ")
+    out = df.select("*", F.posexplode(t).alias("_i", "token")).where("length(token) > 1")
+    if not begins:
+        return out.drop("_i")
+    others = F.expr("filter(split(name, ' '), (x, j) -> j <> _i)")
+    first = F.array_distinct(F.filter(F.flatten(F.transform(others, lambda x: F.array(F.substring(x, 1, 1), F.substring(x, 2, 1)))), lambda c: c != ""))
+    any_letter = F.array(*[F.lit(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"])
+    return out.select("*", F.explode(F.when(F.size(first) > 0, first).otherwise(any_letter)).alias("begin")).drop("_i")
+
 
-    def listed(df: DataFrame) -> DataFrame:
-        own = df.select(*by, "name").where("name is not null and name != ''").distinct()
-        return own.mapInPandas(index, ", ".join(f"{c} string" for c in by) + ", name string, key string")
+def meet(left: DataFrame, right: DataFrame, same: DataFrame, by: list[str], ids: tuple[str, str], begins: bool = True) -> DataFrame:
+    """ids, name_a, name_b of rows that agree in ``by`` and have a token in common. left, right: an id, ``by`` (not null), name."""
+    on = [*by, "token", *(["begin"] if begins else [])]
+    a = listed(left, begins).withColumnRenamed("name", "name_a").join(same.select(F.col("a").alias("token"), "b"), "token").drop("token").withColumnRenamed("b", "token")
+    b = listed(right, begins).withColumnRenamed("name", "name_b")
+    return a.join(b, on).select(*ids, "name_a", "name_b")
 
-    a, b = listed(left).withColumnRenamed("name", "name_a"), listed(right).withColumnRenamed("name", "name_b")
-    met = a.join(b, [*by, "key"]).select(*by, "name_a", "name_b").distinct()
+
+def aligned(pairs: DataFrame) -> DataFrame:
+    """name_a, name_b, family, given, extra, odd of each distinct pair of names that has a token in common."""
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
             s = [align(tuple(x.split()), tuple(y.split())) for x, y in zip(p["name_a"], p["name_b"])]
-            p = p.assign(family=[x[0] for x in s], given=[x[1] for x in s], extra=[x[2] for x in s])
-            yield p[p["family"] >= FAMILY]
+            p = p.assign(**{k: [x[i] for x in s] for i, k in enumerate(("family", "given", "extra", "odd", "top"))})
+            yield p[p["family"] >= SAME]
+
+    return pairs.select("name_a", "name_b").distinct().mapInPandas(score, "name_a string, name_b string, family double, given double, extra int, odd string, top string")
+
+
+def short_forms(known: DataFrame) -> DataFrame:
+    """odd: token pairs that stand for each other. known: name_a, name_b, who: spellings of one person."""
+    seen = known.join(aligned(known).where("odd != ''"), ["name_a", "name_b"])
+    return cut(seen.groupBy("odd").agg(F.count_distinct("who").alias("n")).where(F.col("n") >= SHOWN).select("odd"))
+
+
+def partners(names: DataFrame) -> DataFrame:
+    """top, rare: how few other tokens a token occurs with: 1 up to two, 0 up to nine, -1 beyond (given names, as a rule)."""
+    t = F.split("name", " ")
+    pairs = names.select("name", F.explode(t).alias("top")).where("length(top) > 1").withColumn("other", F.explode(t)).where("top != other and length(other) > 1")
+    n = pairs.groupBy("top").agg(F.count_distinct("other").alias("n"))
+    return cut(n.select("top", F.when(F.col("n") <= 2, 1).when(F.col("n") <= 9, 0).otherwise(-1).alias("rare")))
+
+
+class Names:
+    """What names are compared with: token pairs, how rare tokens are, and learnt short forms."""
 
-    shape = ", ".join(f"{c} string" for c in by) + ", name_a string, name_b string, family double, given double, extra int"
-    return met.mapInPandas(score, shape).where(F.col("given") >= given)
+    def __init__(self, names: DataFrame) -> None:
+        self.same, self.rare, self.forms = token_pairs(names), partners(names), None
+
+    def spelled(self, met: DataFrame) -> DataFrame:
+        """The met rows with family, given, extra and rare of their names. A learnt short form is no different token; different tokens
+        without two letters in common are further apart than others."""
+        both = aligned(met).join(self.rare, "top", "left").withColumn("rare", F.coalesce("rare", F.lit(1)))
+        both = both.join(self.forms.withColumn("_known", F.lit(True)), "odd", "left")
+        alike = F.expr("exists(sequence(1, length(split_part(odd, '|', 1)) - 1), i -> contains(split_part(odd, '|', 2), substring(split_part(odd, '|', 1), i, 2)))")
+        given = F.when(F.col("_known"), F.lit(LEARNT)).when((F.col("odd") != "") & ~alike, F.lit(UNLIKE)).otherwise(F.col("given"))
+        both = both.withColumn("given", given)
+        return met.join(both.drop("odd", "_known", "top"), ["name_a", "name_b"])
+
+
+def best_spelling(met: DataFrame, ids: tuple[str, str]) -> DataFrame:
+    """One row per pair of ids: the names that agree best, as levels."""
+    worth = F.col("family") + F.col("given") - F.col("extra") / 4
+    best = met.groupBy(*ids).agg(F.max(F.struct(worth, "family", "given", "extra", "rare")).alias("s")).select(*ids, "s.family", "s.given", "s.extra", "s.rare")
+    level = F.when(F.col("given") >= 0.85, 2).when(F.col("given") >= 0.6, 1).when(F.col("given") >= LIKE, 0).when(F.col("given") > UNLIKE, -1).otherwise(-2)
+    return best.select(*ids, ((F.col("family") >= 0.99).cast("int") - (F.col("extra") > 0).cast("int")).alias("family_level"), level.alias("given_level"), F.col("rare").alias("rare_level"))
 
 
 def components(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -58,146 +126,174 @@ def components(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     Persons have few registrations, so a handful of rounds suffices; each is materialised in the shared folder.
     """
     both = cut(pairs.select("a", "b").union(pairs.select("b", "a")).distinct())
-    label = cut(nodes.select("node", F.col("node").alias("person")))
+    linked = cut(both.select(F.col("a").alias("node")).distinct().withColumn("person", F.col("node")))
     while True:
-        offer = both.join(label, F.col("b") == F.col("node")).groupBy("a").agg(F.min("person").alias("best"))
-        step = label.join(offer, F.col("node") == F.col("a"), "left")
+        offer = both.join(linked, F.col("b") == F.col("node")).groupBy("a").agg(F.min("person").alias("best"))
+        step = linked.join(offer, F.col("node") == F.col("a"), "left")
         nxt = cut(step.select("node", F.least("person", "best").alias("person"), (F.col("best") < F.col("person")).alias("moved")))
-        label = nxt.select("node", "person")
+        linked = nxt.select("node", "person")
         if nxt.where("moved").isEmpty():
-            return label
+            return nodes.join(linked, "node", "left").select("node", F.coalesce("person", "node").alias("person"))
+
+
+def agreement(a: str, b: str, yes: int = 2) -> Column:
+    """``yes`` where both are known and equal, its negative where they differ, 0 where one is unknown."""
+    return F.when(F.col(a) == F.col(b), yes).when(F.col(a) != F.col(b), -yes).otherwise(0)
 
 
-def same_registrations(regs: DataFrame, names: DataFrame, games: DataFrame) -> DataFrame:
-    """a, b (a < b): two registrations of one person.
+#: The functions that vote on two registrations, what they can vote, and what a step of a vote weighs before anything is learnt.
+REGISTERED = {
+    "rare_level": (-1, 0, 1), "family_level": (-1, 0, 1), "given_level": (-2, -1, 0, 1, 2), "dorsal_votes": (-2, 0, 2), "league_votes": (-1, 0), "gap_votes": (-1, 0, 1), "club_votes": (0, 1), "together_votes": (-2, 0),
+}
+REGISTERED_START = {"rare_level": 0.5, "family_level": 0.5, "given_level": 1.0, "dorsal_votes": 1.5, "league_votes": 1.5, "gap_votes": 0.7, "club_votes": 1.5, "together_votes": 4.0}
+REGISTERED_EVEN = 3.0
 
-    They share league and shirt number, their spellings align, the years they span are at most FAR apart (NEAR where the given names
-    only align loosely, and then they must share a club), and they never played in the same game. Registrations without a shirt
-    number can't be told from namesakes and stay alone.
+
+def same_registrations(regs: DataFrame, names: DataFrame, facts: DataFrame, known: Names) -> DataFrame:
+    """a, b (a < b): two registrations of one person by the model's posterior.
+
+    Pairs meet on the shirt number, or on a club in the same or the next year; with both in common, the other tokens may begin with
+    anything. Leagues, years, and whether the two ever played in the same game are votes, none of them a condition.
     """
-    worn = regs.where("dorsal is not null and league is not null")
-    named = names.join(worn.select("pid", "league", "dorsal"), "pid")
-    spelled = spelling_pairs(named, named, ["league", "dorsal"], given=-1.0)
-    pair = (
-        named.select("league", "dorsal", F.col("name").alias("name_a"), F.col("pid").alias("a"))
-        .join(spelled, ["league", "dorsal", "name_a"])
-        .join(named.select("league", "dorsal", F.col("name").alias("name_b"), F.col("pid").alias("b")), ["league", "dorsal", "name_b"])
-        .where("a < b")
-        .groupBy("a", "b")
-        .agg(F.max(F.struct(F.col("given"), -F.col("extra"), "family")).alias("s"))
-        .select("a", "b", "s.given")
-    )
-    p = worn.select("pid", "lo", "hi", F.coalesce("stays", F.expr("cast(array() as array<struct<year: int, club: string>>)")).alias("stays"))
+    own = names.select("pid", "name").join(regs.select("pid", "dorsal", "stays"), "pid")
+    worn = own.where("dorsal is not null").select("pid", "name", "dorsal")
+    stay = own.select("pid", "name", "dorsal", F.explode("stays").alias("s")).select("pid", "name", "dorsal", "s.club", "s.year").distinct()
+    two = lambda d, s: d.withColumnRenamed("pid", s)
+    around = stay.select("pid", "name", "dorsal", "club", F.explode(F.array(F.col("year") - 1, F.col("year"), F.col("year") + 1)).alias("year"))
+    met = [
+        meet(two(worn, "a"), two(worn, "b"), known.same, ["dorsal"], ("a", "b")),
+        meet(two(around.drop("dorsal"), "a"), two(stay.drop("dorsal"), "b"), known.same, ["club", "year"], ("a", "b")),
+        meet(two(around.where("dorsal is not null"), "a"), two(stay.where("dorsal is not null"), "b"), known.same, ["club", "year", "dorsal"], ("a", "b"), begins=False),
+    ]
+    pair = cut(best_spelling(known.spelled(reduce(DataFrame.union, met).where("a < b").distinct()), ("a", "b")))
     for side in ("a", "b"):
-        pair = pair.join(p.select(F.col("pid").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("lo", "hi", "stays")]), side)
+        pair = pair.join(regs.select(F.col("pid").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("league", "dorsal", "lo", "hi", "stays")]), side)
     gap = F.greatest(F.col("lo_a") - F.col("hi_b"), F.col("lo_b") - F.col("hi_a"))
     shared = F.expr("exists(stays_a, x -> exists(stays_b, y -> x.club = y.club and abs(x.year - y.year) <= 1))")
-    plausible = cut(pair.where(((F.col("given") >= GIVEN) & (gap <= FAR)) | ((gap <= NEAR) & shared)).select("a", "b"))
-    together = (
-        plausible.join(games.select(F.col("pid").alias("a"), "game"), "a").join(games.select(F.col("pid").alias("b"), "game"), ["b", "game"]).select("a", "b").distinct()
+    games = facts.groupBy("pid", "league", "year").agg(F.array_distinct(F.flatten(F.collect_list("games"))).alias("games"))
+    at = lambda s: games.select(F.col("pid").alias(s), "league", "year", F.col("games").alias(f"games_{s}"))
+    together = pair.select("a", "b").join(at("a"), "a").join(at("b"), ["b", "league", "year"]).where(F.arrays_overlap("games_a", "games_b")).select("a", "b", F.lit(True).alias("met")).distinct()
+    votes = pair.join(together, ["a", "b"], "left").select(
+        "a", "b", "rare_level", "family_level", "given_level", agreement("dorsal_a", "dorsal_b").alias("dorsal_votes"), F.when(F.col("league_a").eqNullSafe(F.col("league_b")), 0).otherwise(-1).alias("league_votes"),
+        F.coalesce(F.when(gap <= 1, 1).when(gap > 3, -1), F.lit(0)).alias("gap_votes"), F.when(shared, 1).otherwise(0).alias("club_votes"), F.when(F.col("met"), -2).otherwise(0).alias("together_votes"),
     )
-    return plausible.join(together, ["a", "b"], "left_anti")
+    return posterior(cut(votes), REGISTERED, REGISTERED_START, REGISTERED_EVEN)
 
 
-def persons(box: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Three tables: (pid, person); one row per person (person, league, dorsal, lo, hi, stays); and (person, league, name)."""
-    f = cut(people.facts(box))
-    regs, names = people.registrations(f)
+def persons(facts: DataFrame, decided: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Names]:
+    """(pid, person); one row per person (person, dorsal, lo, hi, stays, names); (person, name); and what names are compared with."""
+    players = facts.where("not total")
+    regs, names = people.registrations(players)
     regs, names = cut(regs), cut(names)
-    label = components(same_registrations(regs, names, people.games_of(box)), regs.select(F.col("pid").alias("node"))).withColumnRenamed("node", "pid")
-    own = regs.join(label, "pid")
-    whole = own.groupBy("person").agg(
-        F.mode("league").alias("league"), F.max_by("dorsal", "n").alias("dorsal"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-        F.array_distinct(F.flatten(F.collect_list("stays"))).alias("stays"),
-    )
-    spelled = names.join(label, "pid").select("person", "name").distinct().join(whole.select("person", "league"), "person")
-    return label, cut(whole), cut(spelled)
-
-
-CANDIDATE = (
-    "decision_id string, person string, family double, given double, extra int, alone_votes int, dorsal_votes int, club_votes int, before_votes int, season_votes int, full_votes int, turned_votes int, absent_votes int"
-)
-
-
-def decision_candidates(decided: DataFrame, whole: DataFrame, spelled: DataFrame) -> DataFrame:
-    """Decision and person whose spellings align, with what each field says of the pair.
-
-    A pair must also share the shirt number, a club, or a season (a year more or less), so one hot name doesn't pair all its rows
-    with all its persons. Votes: 2 and 1 for, -1 and -2 against, 0 nothing said.
+    known = Names(names.select("name").union(decided.select("name")).union(decided.where("full is not null").select("full")).distinct())
+    main = names.groupBy("pid").agg(F.max_by("name", F.struct("n", "name")).alias("name_b"))
+    own = names.select("pid", F.col("name").alias("name_a")).join(main, "pid").where("name_a != name_b").select("name_a", "name_b", F.col("pid").alias("who"))
+    told = decided.where("status = 'confirmed' and full is not null and name != full").select(F.col("name").alias("name_a"), F.col("full").alias("name_b"), F.col("full").alias("who"))
+    known.forms = short_forms(own.union(told))
+    links = same_registrations(regs, names, players, known).where("confidence >= 0.5 and together_votes = 0")
+    label = cut(components(links, regs.select(F.col("pid").alias("node"))).withColumnRenamed("node", "pid"))
+    spellings = cut(names.join(label, "pid").select("person", "name").distinct())
+    whole = regs.join(label, "pid").groupBy("person").agg(F.max_by("dorsal", "n").alias("dorsal"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.array_distinct(F.flatten(F.collect_list("stays"))).alias("stays"))
+    return label, cut(whole.join(spellings.groupBy("person").agg(F.collect_set("name").alias("names")), "person")), spellings, known
+
+
+#: The functions that vote on a decision and a person.
+MEANT = {
+    "rare_level": (-1, 0, 1), "family_level": (-1, 0, 1), "given_level": (-2, -1, 0, 1, 2), "dorsal_votes": (-2, 0, 2), "club_votes": (-1, 0, 1, 2), "before_votes": (-1, 0, 1),
+    "season_votes": (-2, -1, 0, 1), "alone_votes": (0, 1), "full_votes": (-2, 0, 1, 2), "turned_votes": (-1, 0, 1), "absent_votes": (-2, 0),
+}
+MEANT_START = {"rare_level": 0.5, "family_level": 0.5, "given_level": 0.8, "dorsal_votes": 2.5, "club_votes": 1.5, "before_votes": 1.0, "season_votes": 0.8, "alone_votes": 0.7, "full_votes": 1.0, "turned_votes": 0.2, "absent_votes": 2.5}
+MEANT_EVEN = 2.5
+
+
+def decision_candidates(decided: DataFrame, whole: DataFrame, spellings: DataFrame, known: Names) -> DataFrame:
+    """Decisions and persons whose names align, with what each field says of the pair: for (above 0), against (below 0), or nothing (0).
+
+    They meet on the shirt number, on a club in the same or the next year, on the club the notes name, or on league and season (a year
+    more or less). With two of these in common, the other tokens may begin with anything: a given name that doesn't align may be a short
+    form nobody has shown yet.
     """
-    met = spelling_pairs(decided, spelled, ["league"], given=-1.0)
-    d = decided.join(met.withColumnRenamed("name_a", "name"), ["league", "name"])
-    d = d.join(spelled.select("league", F.col("name").alias("name_b"), "person"), ["league", "name_b"])
-    best = d.groupBy("decision_id", "person").agg(F.max(F.struct(F.col("family") + F.col("given") - F.col("extra") / 4, "family", "given", "extra")).alias("s"))
-    w = whole.select("person", F.col("dorsal").alias("w_dorsal"), "lo", "hi", "stays", F.expr("transform(stays, x -> x.club)").alias("clubs"))
-    known = spelled.groupBy("person").agg(F.collect_set("name").alias("names"))
-    pair = best.select("decision_id", "person", "s.family", "s.given", "s.extra").join(decided.drop("league"), "decision_id").join(w, "person").join(known, "person")
-    # A given name that doesn't align may be a short form nobody listed: then number and season, or club and season, must agree.
-    here = F.expr("exists(stays, x -> x.year = year and x.club = club)")
-    odd = ((F.col("dorsal") == F.col("w_dorsal")) & (F.array_contains("clubs", F.col("club")) | F.col("year").between(F.col("lo"), F.col("hi")))) | (here & F.col("dorsal").isNull())
-    pair = pair.where((F.col("given") >= 0.4) | F.coalesce(odd, F.lit(False)))
-    near = (F.col("dorsal") == F.col("w_dorsal")) | F.array_contains("clubs", F.col("club")) | F.array_contains("clubs", F.col("before")) | F.col("year").between(F.col("lo") - 1, F.col("hi") + 1)
-    pair = pair.where(F.coalesce(near, F.lit(False)))
-    rivals = pair.where("given >= 0.4").groupBy("decision_id").agg(F.count(F.lit(1)).alias("rivals"))
-    pair = pair.join(rivals, "decision_id", "left").withColumn("alone", F.when((F.col("rivals") == 1) & (F.col("given") >= 0.4), 1).otherwise(0))
-
-    def votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for r in b.itertuples(index=False):
-                stays = {(s["year"], s["club"]) for s in (r.stays if r.stays is not None else ())}
-                clubs = {c for _, c in stays}
-                dorsal = 0 if r.dorsal is None or r.w_dorsal is None else 2 if r.dorsal == r.w_dorsal else -2
-                known_year = r.year is not None and not pd.isna(r.year)
-                around = known_year and any((r.year + k, r.club) in stays for k in (-1, 1))
-                club = 0 if r.club is None else 2 if known_year and (r.year, r.club) in stays else 1 if around or r.club in clubs else -1
-                before = 0 if r.before is None else 1 if r.before in clubs else -1
-                season = 0 if not known_year or pd.isna(r.lo) else 1 if r.lo <= r.year <= r.hi else -1 if r.lo - 1 <= r.year <= r.hi + 1 else -2
-                agree = max((align(tuple(r.full.split()), tuple(n.split())) for n in r.names), key=lambda s: (s[0] >= FAMILY) + s[0] + s[1]) if r.full else None
-                like = 0 if agree is None else 2 if agree[0] >= FAMILY and agree[1] >= 0.7 else 1 if agree[0] >= FAMILY and agree[1] >= GIVEN else -2
-                full = like if r.status == "confirmed" else 0
-                turned = -1 if r.status == "rejected" and like > 0 else 1 if r.status == "rejected" and like < 0 else 0
-                rows.append((r.decision_id, r.person, r.family, r.given, r.extra, r.alone, dorsal, club, before, season, full, turned, -2 if r.absent else 0))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in CANDIDATE.split(", ")])
-
-    return cut(pair.mapInPandas(votes, CANDIDATE))
-
-
-#: What a vote weighs when decisions are attached to persons by their names; learnt weights are the business of the label model.
-WEIGHT = {"dorsal_votes": 2.5, "club_votes": 1.6, "before_votes": 1.2, "season_votes": 0.8, "full_votes": 1.2, "turned_votes": 0.3, "absent_votes": 3.0}
-ENOUGH = 2.0
-
-
-def attach(candidates: DataFrame) -> DataFrame:
-    """decision_id, person: the person a decision fits best, if well enough; ties go to the smaller person."""
-    score = sum((F.col(c) * w for c, w in WEIGHT.items()), F.lit(0.0)) + F.col("alone_votes") + F.col("given") + F.col("family") - F.col("extra") / 2
-    best = candidates.withColumn("score", score).groupBy("decision_id").agg(F.min_by(F.struct("person", "score"), F.struct(-F.col("score"), F.col("person"))).alias("b"))
-    return best.select("decision_id", "b.person", "b.score").where(F.col("score") >= ENOUGH)
-
-
-def same_decisions(decided: DataFrame, attached: DataFrame) -> DataFrame:
+    ids = ("decision_id", "person")
+    own = spellings.join(whole.select("person", F.col("dorsal"), "stays"), "person")
+    stay = own.select("person", "name", "dorsal", F.explode("stays").alias("s")).select("person", "name", "dorsal", "s.league", "s.club", "s.year")
+    clubs, years = stay.select("person", "name", "dorsal", "club", "year").distinct(), stay.select("person", "name", "dorsal", "league", "year").distinct()
+    d = decided.select("decision_id", "name", "league", "year", "club", "before", "dorsal")
+    around = lambda df: df.withColumn("year", F.explode(F.array(F.col("year") - 1, F.col("year"), F.col("year") + 1)))
+
+    def on(left: DataFrame, right: DataFrame, by: list[str], begins: bool = True) -> DataFrame:
+        there = " and ".join(f"{c} is not null" for c in by)
+        return meet(left.where(there).select("decision_id", "name", *by), right.where(there).select("person", "name", *by).distinct(), known.same, by, ids, begins)
+
+    met = [
+        on(d, own, ["dorsal"]), on(around(d), clubs, ["club", "year"]), on(d.drop("club").withColumnRenamed("before", "club"), clubs, ["club"]), on(around(d), years, ["league", "year"]),
+        on(d, clubs, ["dorsal", "club"], False), on(d, years, ["dorsal", "league", "year"], False), on(d.where("dorsal is null"), clubs, ["club", "year"], False),
+    ]
+    pair = cut(best_spelling(known.spelled(reduce(DataFrame.union, met).distinct()), ids))
+    rivals = pair.where("given_level >= 0").groupBy("decision_id").agg(F.count(F.lit(1)).alias("rivals"))
+    # How the confirmed or turned down name agrees with the person's spellings: 2 and 1 well, -2 not, 0 where none is given.
+    given = pair.select(*ids).join(decided.where("full is not null").select("decision_id", F.col("full").alias("name_a")), "decision_id").join(spellings.select("person", F.col("name").alias("name_b")), "person")
+    level = F.when(F.col("given") >= 0.7, 2).when(F.col("given") >= 0.5, 1).otherwise(-2)
+    like = known.spelled(given).groupBy(*ids).agg(F.max(level).alias("like"))
+    w = whole.select("person", F.col("dorsal").alias("w_dorsal"), "lo", "hi", "stays")
+    pair = pair.join(decided.drop("name"), "decision_id").join(w, "person").join(like, list(ids), "left").join(rivals, "decision_id", "left")
+    pair = pair.withColumn("like", F.when(F.col("full").isNull(), 0).otherwise(F.coalesce("like", F.lit(-2))))
+    there = F.col("year").between(F.col("lo"), F.col("hi"))
+    at = lambda shift: F.expr(f"exists(stays, x -> x.club = club and x.year = year + {shift})")
+    any_time = lambda c: F.expr(f"exists(stays, x -> x.club = {c})")
+    turned = F.col("status") == "rejected"
+    return cut(pair.select(
+        *ids, "rare_level", "family_level", "given_level", agreement("dorsal", "w_dorsal").alias("dorsal_votes"),
+        F.when(F.col("club").isNull(), 0).when(F.coalesce(at(0), F.lit(False)), 2).when(any_time("club"), 1).otherwise(-1).alias("club_votes"),
+        F.when(F.col("before").isNull(), 0).when(any_time("before"), 1).otherwise(-1).alias("before_votes"),
+        F.when(F.col("year").isNull() | F.col("lo").isNull(), 0).when(there, 1).when(F.col("year").between(F.col("lo") - 1, F.col("hi") + 1), -1).otherwise(-2).alias("season_votes"),
+        F.when((F.col("rivals") == 1) & (F.col("given_level") >= 0), 1).otherwise(0).alias("alone_votes"),
+        F.when(F.col("status") == "confirmed", F.col("like")).otherwise(0).alias("full_votes"),
+        F.when(turned & (F.col("like") > 0), -1).when(turned & (F.col("like") < 0), 1).otherwise(0).alias("turned_votes"), F.when(F.col("absent"), -2).otherwise(0).alias("absent_votes"),
+    ))
+
+
+def meant(candidates: DataFrame) -> DataFrame:
+    """The candidates with their confidence: the model's posterior, shared out among a decision's persons, since it means one at most."""
+    p = posterior(candidates, MEANT, MEANT_START, MEANT_EVEN)
+    odds = F.least(F.col("confidence"), F.lit(1 - 1e-9)) / (1 - F.least(F.col("confidence"), F.lit(1 - 1e-9)))
+    total = p.groupBy("decision_id").agg(F.sum(odds).alias("_all"))
+    return p.join(total, "decision_id").withColumn("confidence", odds / (1 + F.col("_all"))).drop("_all")
+
+
+def attach(candidates: DataFrame, least: float = 0.5) -> DataFrame:
+    """decision_id, person, confidence: the person a decision most likely means, if at least that likely; equal ones can't both be."""
+    best = meant(candidates).where(F.col("confidence") >= least).groupBy("decision_id").agg(F.min_by(F.struct("person", "confidence"), F.struct(-F.col("confidence"), F.col("person"))).alias("b"))
+    return best.select("decision_id", "b.person", "b.confidence")
+
+
+#: The functions that vote on two decisions about people whom the box score doesn't have.
+DECIDED = {"rare_level": (-1, 0, 1), "family_level": (-1, 0, 1), "given_level": (-2, -1, 0, 1, 2), "dorsal_votes": (-2, 0, 2), "club_votes": (-1, 0, 1), "season_votes": (-1, 0, 1), "position_votes": (-1, 0, 1)}
+DECIDED_START = {"rare_level": 0.5, "family_level": 0.5, "given_level": 1.0, "dorsal_votes": 1.5, "club_votes": 1.0, "season_votes": 1.0, "position_votes": 1.5}
+DECIDED_EVEN = 1.5
+
+
+def same_decisions(decided: DataFrame, attached: DataFrame, known: Names) -> DataFrame:
     """decision_id, person of all decisions: those attached to a person of the box score, and the others grouped among themselves.
 
-    Two decisions that fit no one belong together if their spellings align, no shirt number, position or given name contradicts, and
-    they share a shirt number, the season, or a club within a year.
+    Two decisions that fit no one meet on a shirt number, a club in the same or the next year, or league and season, and belong
+    together by the model's posterior over what their fields say.
     """
-    rest = decided.join(attached.select("decision_id"), "decision_id", "left_anti")
-    spelled = spelling_pairs(rest, rest, ["league"])
-    r = rest.select("decision_id", "league", "name", "year", "club", "dorsal", "position")
-
-    def side(s: str) -> DataFrame:
-        return r.select("league", F.col("name").alias(f"name_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("decision_id", "year", "club", "dorsal", "position")]).withColumn(f"season_{s}", F.col(f"year_{s}").cast("string"))
-
-    # Each evidence is an equality, so each is its own join and a hot name spreads over clubs, numbers and seasons.
-    def joined(on: str) -> DataFrame:
-        one = side("a").where(f"{on}_a is not null").withColumn("_on", F.col(f"{on}_a")).join(spelled, ["league", "name_a"])
-        two = side("b").where(f"{on}_b is not null").withColumn("_on", F.col(f"{on}_b"))
-        return one.join(two, ["league", "name_b", "_on"]).where("decision_id_a < decision_id_b").drop("_on")
-
-    near = joined("club").where("abs(year_a - year_b) <= 1").unionByName(joined("dorsal")).unionByName(joined("season"))
-    fits = "(dorsal_a is null or dorsal_b is null or dorsal_a = dorsal_b) and (position_a is null or position_b is null or position_a = position_b)"
-    pairs = near.where(fits).select(F.col("decision_id_a").alias("a"), F.col("decision_id_b").alias("b")).distinct()
-    alone = components(pairs, rest.select(F.col("decision_id").alias("node")).distinct())
+    rest = cut(decided.join(attached.select("decision_id"), "decision_id", "left_anti"))
+    around = lambda df: df.withColumn("year", F.explode(F.array(F.col("year") - 1, F.col("year"), F.col("year") + 1)))
+
+    def on(left: DataFrame, by: list[str]) -> DataFrame:
+        there = " and ".join(f"{c} is not null" for c in by)
+        side = lambda df, s: df.where(there).select(F.col("decision_id").alias(s), "name", *by)
+        return meet(side(left, "a"), side(rest, "b"), known.same, by, ("a", "b"))
+
+    met = reduce(DataFrame.union, [on(rest, ["league", "dorsal"]), on(around(rest), ["club", "year"]), on(rest, ["league", "year"])]).where("a < b").distinct()
+    pair = best_spelling(known.spelled(met), ("a", "b"))
+    for s in ("a", "b"):
+        pair = pair.join(rest.select(F.col("decision_id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("league", "year", "club", "dorsal", "position")]), s)
+    season = F.when((F.col("year_a") == F.col("year_b")) & (F.col("league_a") == F.col("league_b")), 1).when(F.abs(F.col("year_a") - F.col("year_b")) > 1, -1).otherwise(0)
+    votes = cut(pair.select("a", "b", "rare_level", "family_level", "given_level", agreement("dorsal_a", "dorsal_b").alias("dorsal_votes"), agreement("club_a", "club_b", 1).alias("club_votes"), season.alias("season_votes"), agreement("position_a", "position_b", 1).alias("position_votes")))
+    links = posterior(votes, DECIDED, DECIDED_START, DECIDED_EVEN).where("confidence >= 0.5")
+    alone = components(links, rest.select(F.col("decision_id").alias("node")).distinct())
     return attached.select("decision_id", "person").unionByName(alone.select(F.col("node").alias("decision_id"), F.concat(F.lit("D|"), "person").alias("person")))
 
 
@@ -208,9 +304,15 @@ def pairs_within(member: DataFrame, key: str) -> DataFrame:
     return a.join(b, "person").where("ref_a < ref_b").select("ref_a", "ref_b").distinct()
 
 
-def found(box: DataFrame, table: DataFrame, clubs: DataFrame) -> DataFrame:
+def linked(box: DataFrame, table: DataFrame, clubs: DataFrame, players: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, Names]:
+    """(pid, person), the decisions, (decision_id, person, confidence), and what names were compared with."""
+    facts = cut(people.facts(box))
+    decided = people.decisions(table, clubs, facts, players)
+    label, whole, spellings, known = persons(facts, decided)
+    return label, decided, cut(attach(decision_candidates(decided, whole, spellings, known))), known
+
+
+def found(box: DataFrame, table: DataFrame, clubs: DataFrame, players: DataFrame | None = None) -> DataFrame:
     """ref_a, ref_b: player_ids, and decision_ids, that stand for one person. Empty tables give no pairs; equal rows make one reference."""
-    label, whole, spelled = persons(box)
-    decided = people.decisions(table, clubs, box)
-    attached = cut(attach(decision_candidates(decided, whole, spelled)))
-    return pairs_within(label, "pid").unionByName(pairs_within(same_decisions(decided, attached), "decision_id"))
+    label, decided, attached, known = linked(box, table, clubs, players)
+    return pairs_within(label, "pid").unionByName(pairs_within(same_decisions(decided, attached, known), "decision_id"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -9,7 +10,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hoopflow.functions.ids import game_key, message_key, season_of
 from hoopflow.llm.spelling import distance, fold, tokens
 from hoopflow.operators.deliveries import is_total
 from hoopflow.session import cut
@@ -31,16 +31,19 @@ def _code(c: Column) -> Column:
 
 
 def facts(box: DataFrame) -> DataFrame:
-    """pid, league, year, club, dorsal, player, n: player rows summed up. Rows without player_id can't be referred to and are left out."""
+    """pid, league, year, club, dorsal, player, total, n, games: the box score summed up in one scan, club rows (``total``) included.
+
+    ``games`` are the numbers of the season's games, so their set is bounded by a season. Rows without player_id can't be referred to and
+    are left out; a club counts only if it is one of the game's two.
+    """
     clubs = F.split(F.upper(F.regexp_replace("game", r"\s", "")), "-")
-    club = _code(F.col("team_id"))
-    season = season_of(message_key(F.col("game_player_id")))
+    club, code = _code(F.col("team_id")), _code(F.col("player_id"))
+    number = F.coalesce(F.regexp_extract(F.col("game_id"), r"(\d+)\W*$", 1).try_cast("int"), F.hash("game_id"))
     rows = box.where(F.col("player_id").isNotNull()).select(
-        F.col("player_id").alias("pid"), league_of(season).alias("league"), year_of(season).alias("year"),
-        F.when(F.array_contains(clubs, club), club).alias("club"), _code(F.col("dorsal")).alias("dorsal"), "player",
-        is_total(_code(F.col("player_id")), F.col("dorsal"), F.col("game")).alias("total"),
+        F.col("player_id").alias("pid"), league_of(F.col("season_code")).alias("league"), year_of(F.col("season_code")).alias("year"),
+        F.when(F.array_contains(clubs, club), club).alias("club"), _code(F.col("dorsal")).alias("dorsal"), "player", is_total(code, F.col("dorsal"), F.col("game")).alias("total"), number.alias("game"),
     )
-    return rows.where(~F.col("total")).groupBy("pid", "league", "year", "club", "dorsal", "player").agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("pid", "league", "year", "club", "dorsal", "player", "total").agg(F.count(F.lit(1)).alias("n"), F.collect_set("game").alias("games"))
 
 
 def fold_names(df: DataFrame, column: str, out: str = "name") -> DataFrame:
@@ -56,31 +59,20 @@ def fold_names(df: DataFrame, column: str, out: str = "name") -> DataFrame:
 
 
 def registrations(facts_: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two tables: one row per registration (pid, league, dorsal, lo, hi, stays), and its names (pid, name).
+    """Two tables: one row per registration (pid, dorsal, lo, hi, n, stays), and its spellings (pid, name, n).
 
-    The dorsal is the one worn most often (the smaller one where two tie), stays are the (year, club) pairs with at least two rows,
-    or all of them where none has two.
+    The dorsal is the one worn most often (the smaller one where two tie), stays are the (league, year, club) with at least two rows, or
+    all of them where none has two.
     """
-    names = fold_names(facts_.select("pid", "player").distinct(), "player").where("name != ''").select("pid", "name").distinct()
+    names = fold_names(facts_.groupBy("pid", "player").agg(F.sum("n").alias("n")), "player").where("name != ''").groupBy("pid", "name").agg(F.sum("n").alias("n"))
     worn = facts_.where("dorsal is not null").groupBy("pid", "dorsal").agg(F.sum("n").alias("n")).groupBy("pid").agg(F.max_by("dorsal", F.struct("n", F.col("dorsal"))).alias("dorsal"))
-    stay = facts_.where("club is not null and year is not null").groupBy("pid", "year", "club").agg(F.sum("n").alias("n"))
-    stays = stay.groupBy("pid").agg(F.collect_set(F.when(F.col("n") >= 2, F.struct("year", "club"))).alias("s"), F.collect_set(F.struct("year", "club")).alias("all"))
+    stay = facts_.where("club is not null and year is not null").groupBy("pid", "league", "year", "club").agg(F.sum("n").alias("n"))
+    at = F.struct("league", "year", "club")
+    stays = stay.groupBy("pid").agg(F.collect_set(F.when(F.col("n") >= 2, at)).alias("s"), F.collect_set(at).alias("all"))
     stays = stays.select("pid", F.when(F.size("s") > 0, F.col("s")).otherwise(F.col("all")).alias("stays"))
     base = facts_.groupBy("pid").agg(F.mode("league").alias("league"), F.min("year").alias("lo"), F.max("year").alias("hi"), F.sum("n").alias("n"))
-    return base.join(worn, "pid", "left").join(stays, "pid", "left"), names
-
-
-def games_of(box: DataFrame) -> DataFrame:
-    """pid, game of every player row."""
-    return box.where(F.col("player_id").isNotNull()).select(F.col("player_id").alias("pid"), game_key(F.col("game_id")).alias("game")).distinct()
-
-
-#: How the clerks' notes put things.
-SHIRT = re.compile(r"(?:wears|shirt number|dorsal)\s+(\d+)", re.I)
-BEFORE = re.compile(r"moved from (.+?)\s*(?:;|$)|was at (.+?) before|earlier games for (.+?)\s*(?:;|$)", re.I)
-ABSENT = re.compile(r"no minutes so far|not played|no box-score row", re.I)
-POSITION = re.compile(r"\b(guard|forward|center)\b", re.I)
-DECISION = "decision_id string, league string, year int, name string, full string, status string, club string, before string, dorsal string, position string, absent boolean"
+    none = F.expr("cast(array() as array<struct<league: string, year: int, club: string>>)")
+    return base.join(worn, "pid", "left").join(stays, "pid", "left").withColumn("stays", F.coalesce("stays", none)), names
 
 
 class ClubNames:
@@ -88,11 +80,12 @@ class ClubNames:
 
     def __init__(self, rows: list[tuple[str, str]]) -> None:
         self.code = {n: c for n, c in rows}
-        self.short = {}
+        self.short: dict[str, set[str]] = {}
         for n, c in rows:
             whole = fold(n)
             for t in {whole, *(x for x in whole.split() if len(x) >= 4)}:
                 self.short.setdefault(t, set()).add(c)
+        self.longest = max((t.count(" ") + 1 for t in self.short), default=1)
         self.known: dict[str, str | None] = {}
 
     def find(self, text: str | None) -> str | None:
@@ -113,8 +106,23 @@ class ClubNames:
         near = {c for n, c in self.code.items() if distance(t, n, 1) <= 1}
         return near.pop() if len(near) == 1 else None
 
-
-def club_names(clubs: DataFrame, box: DataFrame) -> list[tuple[str, str]]:
+    def mentioned(self, text: str) -> tuple[str | None, set[str]]:
+        """The one club that a text names by its longest names in it, and the words that name it; None where there are several or none."""
+        words, found, used = fold(text).split(), set(), set()
+        at = 0
+        while at < len(words):
+            for n in range(min(self.longest, len(words) - at), 0, -1):
+                part = " ".join(words[at : at + n])
+                if len(part) >= 4 and len(own := self.short.get(part, ())) == 1:
+                    found |= own
+                    used |= set(words[at : at + n])
+                    at += n - 1
+                    break
+            at += 1
+        return (next(iter(found)) if len(found) == 1 else None), used
+
+
+def club_names(clubs: DataFrame, facts_: DataFrame) -> list[tuple[str, str]]:
     """(lower-case name, code) of the register and, for clubs that it lacks, of the box score's club rows.
 
     Clubs are few; more than CLUB_LIMIT names are refused rather than broadcast. Where two clubs share a name, the register's wins.
@@ -122,9 +130,7 @@ def club_names(clubs: DataFrame, box: DataFrame) -> list[tuple[str, str]]:
     listed = clubs.where("code is not null").select(
         F.explode(F.array(*[F.lower(F.trim(F.col(c))) for c in ("code", "team", "tv")])).alias("n"), F.upper(F.trim("code")).alias("c"), F.lit(0).alias("o")
     )
-    code = _code(F.col("player_id"))
-    played = box.where((F.upper(F.trim("dorsal")) == "TOTAL") & F.array_contains(F.split(F.upper(F.regexp_replace("game", r"\s", "")), "-"), code))
-    seen = played.groupBy(code.alias("c"), "player").count().where("count > 1")
+    seen = facts_.where("total and player is not null").groupBy(_code(F.col("pid")).alias("c"), "player").agg(F.sum("n").alias("n")).where("n > 1")
     seen = seen.select(F.explode(F.array(F.lower("c"), F.lower(F.trim("player")))).alias("n"), "c", F.lit(1).alias("o"))
     best = listed.unionByName(seen).where("n is not null and n not in ('', '-')").groupBy("n").agg(F.min(F.struct("o", "c")).alias("b"))
     rows = best.select("n", "b.c").orderBy("n").limit(CLUB_LIMIT + 1).collect()
@@ -133,29 +139,60 @@ def club_names(clubs: DataFrame, box: DataFrame) -> list[tuple[str, str]]:
     return [(r["n"], r["c"]) for r in rows]
 
 
-def decisions(table: DataFrame, clubs: DataFrame, box: DataFrame) -> DataFrame:
-    """Decisions with what their text says: folded names, club and club before as codes, shirt number, position, and whether the player
-    is said to have no games. Nulls stay null; a decision without a usable name is left out, as nothing can be compared."""
-    names = club_names(clubs, box)
+#: A word says something of decisions if at least one in so many has it, so a table of such words is bounded whatever the data.
+TELLING = 4096
+#: Odds of no_match at which remarks speak against a match.
+AGAINST = 20.0
+
+
+def remark_words(table: DataFrame) -> dict[str, float]:
+    """What each word of the notes says for ``no_match``: log odds against the other decisions, learnt from all decisions.
+
+    Words of fewer than one decision in TELLING say nothing; so at most TELLING times the mean number of words are kept.
+    """
+    d = table.select((F.col("match_status") == "no_match").alias("no"), F.array_distinct(F.regexp_extract_all(F.lower("notes"), F.lit(r"(\p{L}{2,})"), F.lit(1))).alias("w"))
+    total = d.agg(F.count_if("no").alias("no"), F.count_if(~F.coalesce("no", F.lit(False))).alias("yes")).first()
+    every = total["no"] + total["yes"]
+    words = d.select("no", F.explode("w").alias("word")).groupBy("word").agg(F.count_if("no").alias("no"), F.count(F.lit(1)).alias("n")).where(F.col("n") * TELLING >= every)
+    size = (total["no"] + 2) / (total["yes"] + 2)
+    return {r["word"]: math.log((r["no"] + size) / (r["n"] - r["no"] + 1) / size) for r in words.collect()} | {"": math.log(size)}
+
+
+DECISION = "decision_id string, league string, year int, name string, full string, status string, club string, before string, dorsal string, position string, absent boolean"
+
+
+def decisions(table: DataFrame, clubs: DataFrame, facts_: DataFrame, players: DataFrame | None = None) -> DataFrame:
+    """Decisions with what their text says: folded names, club and another club the notes name as codes, the shirt number (the one
+    number of up to three digits in the notes), the position (a value of the price list's ``position``), and whether the notes' words are those of decisions
+    that found nobody. Nulls stay null; a decision without a usable name is left out, as nothing can be compared."""
+    names, said = club_names(clubs, facts_), remark_words(table)
+    listed = players.select(F.lower(F.trim("position")).alias("p")).where("p != ''").distinct().limit(101).collect() if players is not None else []
+    if len(listed) > 100:
+        raise ValueError("there are more than 100 positions")
+    places = re.compile(rf"\b({'|'.join(sorted(re.escape(r['p']) for r in listed)) or '(?!)'})\b", re.I)
+    sure = math.log(AGAINST)
+
+    def parsed(notes: str, lookup: ClubNames) -> tuple:
+        numbers, place = set(re.findall(r"(?<!\w)\d{1,3}(?!\w)", notes)), places.search(notes)
+        club, used = lookup.mentioned(notes)
+        words = {w for w in re.findall(r"[^\W\d_]{2,}", notes.lower()) if fold(w) not in used}
+        odds = said.get("", 0.0) + sum(said.get(w, 0.0) for w in words)
+        return numbers.pop() if len(numbers) == 1 else None, club, place.group(1).lower() if place else None, bool(words) and odds >= sure
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lookup = ClubNames(names)
         for b in batches:
-            rows = []
-            for r in b.itertuples(index=False):
-                notes, season = r.notes or "", (r.season_code or "").strip().upper()
-                year = re.search(r"\d+", season)
-                shirt, past, place = SHIRT.search(notes), BEFORE.search(notes), POSITION.search(notes)
-                name = " ".join(tokens(r.stats_name))
-                if not name or r.decision_id is None:
-                    continue
-                rows.append((
-                    r.decision_id, re.match(r"[A-Z]*", season).group(), int(year.group()) if year else None, name, " ".join(tokens(r.name)) or None,
-                    r.match_status, lookup.find(r.stats_team), lookup.find(next(x for x in past.groups() if x)) if past else None,
-                    shirt.group(1) if shirt else None, place.group(1).lower() if place else None, bool(ABSENT.search(notes)),
-                ))
-            out = pd.DataFrame(rows, columns=[c.split()[0] for c in DECISION.split(", ")])
-            yield out.astype({"year": "Int32", "absent": bool})
+            notes = b["notes"].fillna("")
+            facts = {n: parsed(n, lookup) for n in notes.unique()}
+            folded = {n: " ".join(tokens(n)) for n in pd.concat([b["stats_name"], b["name"]]).dropna().unique()}
+            season = b["season_code"].fillna("").str.strip().str.upper()
+            out = pd.DataFrame({
+                "decision_id": b["decision_id"], "league": season.str.extract(r"^([A-Z]*)")[0], "year": season.str.extract(r"(\d+)")[0].astype("Int32"),
+                "name": b["stats_name"].map(folded).replace("", None), "full": b["name"].map(folded).replace("", None), "status": b["match_status"], "club": [lookup.find(x) for x in b["stats_team"]],
+            })
+            for k, c in enumerate(("dorsal", "before", "position", "absent")):
+                out[c] = notes.map(lambda n, k=k: facts[n][k])
+            yield out[out["decision_id"].notna() & out["name"].notna()][[c.split()[0] for c in DECISION.split(", ")]]
 
     wanted = table.select("decision_id", "season_code", "stats_name", "stats_team", "name", "match_status", "notes")
     return cut(wanted.mapInPandas(run, DECISION))

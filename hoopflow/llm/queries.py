@@ -10,7 +10,7 @@ from hoopflow.session import cut, table
 
 
 def _people(spark: SparkSession, d: str) -> list[DataFrame]:
-    return [table(spark, d, n) for n in ("euroleague_box_score", "player_name_decisions", "clubs")]
+    return [table(spark, d, n) for n in ("euroleague_box_score", "player_name_decisions", "clubs", "fantasy_players")]
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:

@@ -11,22 +11,12 @@ from itertools import permutations
 LETTERS = str.maketrans({"Ł": "L", "Đ": "D", "Ø": "O", "Æ": "AE", "Œ": "OE", "ẞ": "SS", "ß": "SS", "Þ": "TH", "Ð": "D", "ı": "I", "İ": "I"})
 DIGRAPHS = (("SCH", "S"), ("SH", "S"), ("CH", "C"), ("ZH", "Z"), ("GH", "G"), ("DJ", "D"), ("KH", "H"), ("OE", "O"), ("UE", "U"), ("AE", "A"), ("OO", "U"), ("NY", "N"))
 SUFFIXES = {"JR", "SR", "II", "III", "IV"}
-#: Everyday short forms of given names that are no prefixes of the long form, folded.
-SHORT = {
-    "ALE": "ALEJANDRO ALESSANDRO", "ALEX": "ALEKSANDAR ALEXANDROS ALEJANDRO", "ANDI": "ANDREAS", "BASTI": "SEBASTIAN", "BEPPE": "GIUSEPPE",
-    "BILL": "WILLIAM", "BOB": "ROBERT", "BOBBY": "ROBERT", "CHRIS": "CRISTOS CRISTOPHER CRISTOPH CRISTIAN", "DIMITRIS": "DIMITRIOS", "DIMA": "DIMITRIOS",
-    "FEDE": "FEDERICO", "FRAN": "FRANCISCO", "FRED": "FREDERIC", "GIANNIS": "IOANNIS", "GIGI": "LUIGI", "GIORGOS": "GEORGIOS", "GUILLE": "GUILLERMO",
-    "IBO": "IBRAHIM", "JANDRO": "ALEJANDRO", "JIM": "JAMES", "JIMMY": "JAMES", "JOE": "JOSEPH", "JON": "JONATHAN", "KOSTAS": "KONSTANTINOS",
-    "KIKO": "FRANCISCO", "LAURAS": "LAURYNAS", "LEO": "LEONARDO", "MANOLIS": "EMMANOUIL", "MANOS": "EMMANOUIL", "MATT": "MATTHIAS MATTHEW", "MIKE": "MICAEL MICHAEL", "MITSOS": "DIMITRIOS",
-    "NACHO": "IGNACIO", "NACO": "IGNACIO", "NICK": "NIKOLAOS NICOLO", "NIKOS": "NIKOLAOS", "PACO": "FRANCISCO", "PANOS": "PANAGIOTIS", "PEPE": "JOSE", "QUIN": "JOAQUIN",
-    "ROB": "ROBERT", "SASA": "ALEKSANDAR", "SPYROS": "SPYRIDON", "TED": "THEODORE", "THANASIS": "ATHANASIOS", "THODORIS": "THEODOROS",
-    "TIM": "TIMOTHY", "TOBI": "TOBIAS", "TOMMY": "THOMAS", "TONY": "ANTHONY ANTONIO", "VAGGELIS": "EVANGELOS", "VANGELIS": "EVANGELOS", "VASILIS": "VASILEIOS", "VASSILIS": "VASILEIOS",
-    "BILLY": "WILLIAM", "BOGI": "BOGDAN", "CECCO": "FRANCESCO", "CUS": "JESUS", "DOKO": "DORDE", "DOMAS": "DOMANTAS", "EDIS": "EDGARAS", "FANFAN": "FRANCOIS",
-    "GEDAS": "GEDIMINAS", "HANNES": "JOHANNES", "JOHNNY": "JONATHAN", "KESTAS": "KESTUTIS", "LELE": "GABRIELE", "MATZE": "MATTHIAS", "MEMO": "MEHMET", "MIKI": "MILOS", "MINDE": "MINDAUGAS",
-    "MUSTIK": "MUSTAFA", "OGI": "OGNJEN", "PINO": "GIUSEPPE", "QUINO": "JOAQUIN", "RICKY": "RICCARDO", "SANDRO": "ALESSANDRO", "SARAS": "SARUNAS", "STRALE": "STRAHINJA", "SULO": "SULEYMAN",
-    "TAUTIS": "TAUTVYDAS", "TEDDY": "THEODORE", "TEO": "MATTEO THEODOROS", "TOPHER": "CRISTOPHER", "VLADA": "VLADIMIR", "VLADO": "VLADIMIR", "VYTAS": "VYTAUTAS", "WILLY": "GUILLERMO WILLIAM",
-    "ZOKI": "ZORAN", "ZYGIS": "ZYGIMANTAS", "WILL": "WILLIAM", "ZACK": "ZACHARY", "ZAC": "ZACHARY", "ZAK": "ZACHARY", "ZAY": "ISAIAH", "ZIGA": "ZYGIMANTAS", "MINDAS": "MINDAUGAS",
-}
+#: From these lengths of the shorter token on, one and two edits still leave the same token.
+ONE_EDIT, TWO_EDITS = 4, 7
+#: A token pair with at least SAME is one token spelled twice; one below LIKE is two different tokens.
+SAME, LIKE = 0.8, 0.4
+#: What a learnt short form counts.
+LEARNT = 0.75
 
 
 @lru_cache(maxsize=200_000)
@@ -46,12 +36,8 @@ def tokens(text: str | None) -> tuple[str, ...]:
     return tuple(x for x in t if x not in SUFFIXES) or tuple(t)
 
 
-def generation(text: str | None) -> str:
-    return next((x for x in fold(text or "").split() if x in SUFFIXES), "")
-
-
 def deletes(token: str, depth: int = 1) -> set[str]:
-    """The token and all strings left after deleting up to ``depth`` letters: two tokens one edit (or swap) apart share one."""
+    """The token and all strings left after deleting up to ``depth`` letters: tokens that many edits (or swaps) apart share one."""
     found = {token}
     layer = {token}
     for _ in range(depth):
@@ -60,10 +46,11 @@ def deletes(token: str, depth: int = 1) -> set[str]:
     return found
 
 
-def keys(text: str | None, least: int = 4) -> set[str]:
-    """Index keys of a name: the neighbourhoods of its long tokens, two deletions deep for tokens of nine letters and more."""
-    long = [t for t in tokens(text) if len(t) >= least] or list(tokens(text)[:1])
-    return {k for t in long for k in deletes(t, 2 if len(t) >= 9 else 1)}
+def keys(token: str) -> set[str]:
+    """Index keys of a token. Any two tokens that ``token_score`` takes for the same share one; single letters have none."""
+    if len(token) < 2:
+        return set()
+    return deletes(token, 2 if len(token) >= TWO_EDITS else 1 if len(token) >= ONE_EDIT else 0)
 
 
 @lru_cache(maxsize=500_000)
@@ -87,60 +74,89 @@ def distance(a: str, b: str, most: int = 2) -> int:
     return prev[-1]
 
 
-@lru_cache(maxsize=1)
-def _short_forms() -> dict[str, tuple[str, ...]]:
-    return {fold(k): tuple(fold(v).split()) for k, v in SHORT.items()}
-
-
-def short_for(a: str, b: str) -> bool:
-    """Whether a is an everyday short form of b, either of them with a slip."""
-    forms = _short_forms()
-    known = forms.get(a) or next((v for k, v in forms.items() if len(k) > 4 and k[0] == a[0] and distance(a, k, 1) <= 1), ())
-    return any(distance(b, x, 1) <= 1 for x in known)
-
-
 @lru_cache(maxsize=500_000)
 def token_score(a: str, b: str) -> float:
-    """1: equal; 0.9 and 0.8: one or two edits; 0.75: a short form; 0.55 to 0.7: an initial or abbreviation; below 0: other tokens."""
+    """1: equal; 0.9 and 0.8: one or two edits; 0.4 to 0.7: an initial or abbreviation, perhaps with a slip; below 0: other tokens.
+
+    Two edits that leave nothing of the first two letters make other tokens.
+    """
     if a == b:
         return 1.0 if len(a) > 1 else 0.55
     s, l = sorted((a, b), key=len)
     d = distance(a, b)
-    if len(s) >= 4 and d == 1:
+    if len(s) >= ONE_EDIT and d == 1:
         return 0.9
-    if len(s) >= 7 and d == 2:
-        return 0.8
+    if len(s) >= TWO_EDITS and d == 2 and set(s[:2]) & set(l[:2]):
+        return SAME
     if l.startswith(s):
         return 0.55 if len(s) == 1 else 0.62 if len(s) == 2 else 0.7
-    if short_for(s, l) or short_for(l, s):
-        return 0.75
     if 3 <= len(s) < len(l) and distance(s, l[: len(s)], 1) <= 1 and s[0] == l[0]:
         return 0.5
     if len(s) >= 5 and d == 2 and s[0] == l[0]:
-        return 0.4
+        return LIKE
     return -1.0
 
 
+def assign(cost: list[list[float]]) -> list[int]:
+    """The column of each row in the cheapest assignment of all rows (no more rows than columns), by shortest augmenting paths."""
+    n, m = len(cost), len(cost[0])
+    row_at, u, v = [-1] * m, [0.0] * n, [0.0] * m
+    for start in range(n):
+        near, came, done = [float("inf")] * m, [-1] * m, [False] * m
+        row, at = start, -1
+        while True:
+            for j in range(m):
+                if not done[j] and (c := cost[row][j] - u[row] - v[j]) < near[j]:
+                    near[j], came[j] = c, at
+            best = min((j for j in range(m) if not done[j]), key=lambda j: near[j])
+            step = near[best]
+            u[start] += step
+            for j in range(m):
+                if done[j]:
+                    u[row_at[j]] += step
+                    v[j] -= step
+                else:
+                    near[j] -= step
+            done[best], at = True, best
+            if row_at[best] < 0:
+                break
+            row = row_at[best]
+        while at >= 0:
+            back = came[at]
+            row_at[at] = row_at[back] if back >= 0 else start
+            at = back
+    out = [0] * n
+    for j, i in enumerate(row_at):
+        if i >= 0:
+            out[i] = j
+    return out
+
+
 @lru_cache(maxsize=500_000)
-def align(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[float, float, int]:
+def align(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[float, float, int, str, str]:
     """The best assignment of the shorter name's tokens to the longer one's.
 
-    Gives the score of the longest matched token (the family name, as a rule), the lowest score of the other matched tokens, and how
-    many tokens of the longer name stay unmatched. Names of more than five tokens are aligned greedily.
+    Gives the score of the longest matched token (the family name, as a rule), the lowest score of the other matched tokens, how many
+    tokens of the longer name stay unmatched, where exactly one other pair is made of different tokens that pair as ``x|y``, and the
+    longest matched token itself.
     """
     if not a or not b:
-        return -1.0, -1.0, max(len(a), len(b))
+        return -1.0, -1.0, max(len(a), len(b)), "", ""
     if len(a) > len(b):
         a, b = b, a
-    if len(b) <= 5:
+    if len(b) <= 3:
         best = max(permutations(range(len(b)), len(a)), key=lambda p: sum(token_score(x, b[j]) for x, j in zip(a, p)))
     else:
-        free, best = set(range(len(b))), []
-        for x in a:
-            j = max(free, key=lambda k: token_score(x, b[k]))
-            free.discard(j)
-            best.append(j)
-    pairs = [(min(len(x), len(b[j])), token_score(x, b[j])) for x, j in zip(a, best)]
-    top = max(range(len(pairs)), key=lambda i: (pairs[i][1] >= 0.8, pairs[i][0]))
-    rest = [s for i, (_, s) in enumerate(pairs) if i != top]
-    return pairs[top][1], min(rest) if rest else 0.5, len(b) - len(a)
+        best = assign([[-token_score(x, y) for y in b] for x in a])
+    pairs = [(token_score(x, b[j]), min(len(x), len(b[j])), x, b[j]) for x, j in zip(a, best)]
+    top = max(range(len(pairs)), key=lambda i: (pairs[i][0] >= SAME, pairs[i][1]))
+    rest = [p for i, p in enumerate(pairs) if i != top]
+    odd = [p for p in rest if p[0] < LIKE]
+    pair = "|".join(sorted(odd[0][2:])) if len(odd) == 1 and min(len(odd[0][2]), len(odd[0][3])) > 1 else ""
+    return pairs[top][0], min((p[0] for p in rest), default=0.5), len(b) - len(a), pair, pairs[top][2]
+
+
+def classes(name: tuple[str, ...], i: int) -> set[str]:
+    """What the other tokens of a name begin with: two aligned names agree in one of these for some token they share."""
+    others = {c for j, t in enumerate(name) if j != i for c in t[:2]}
+    return others or set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
