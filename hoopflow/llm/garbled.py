@@ -1,7 +1,7 @@
 """Text decoded with the wrong character encoding, found and restored with a hidden Markov model.
 
 States: one for clean text, one for each pair (encoding the bytes were in, encoding they were read as), one for UTF-8 garbled twice,
-and one for letters that were lost altogether. A state explains a character by the character its bytes stand for, with the
+one for letters that were lost altogether, and one for garbled characters that a clean text cites. A state explains a character by the character its bytes stand for, with the
 probability that character has after the one before it (a model of character pairs trained on the corpus itself); the clean state
 explains it as it stands. ASCII is the same under all states, so a text is labelled through its other characters; entering and
 leaving a state costs. Viterbi's path labels the text, and each labelled span gets its state's inverse transform.
@@ -27,12 +27,15 @@ STORED = ("cp1252", "mac_roman", "cp437", "cp850", "cp1250", "cp1251", "cp1253",
 ALSO_READ_AS = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1250", "cp866")
 PAIRS = tuple(("utf-8", r) for r in READ_AS) + tuple((s, r) for s in STORED for r in ALSO_READ_AS if s != r)
 TWICE, LOST = len(PAIRS), len(PAIRS) + 1
-STATES = len(PAIRS) + 2
+CITED = len(PAIRS) + 2
+STATES = len(PAIRS) + 3
 
 BUCKETS = 1 << 20
 #: What a worker keeps at once: runs in its cache (their length in characters), characters of one Viterbi call, texts in hand.
 KEPT, KEPT_CHARS, CELLS, TEXTS = 20_000, 24, 24_000, 1_000
 ENTER, LEAVE, SWITCH = -13.0, -1.0, -16.0
+#: Citing garbled characters is entered more easily than garbling, and costs a little per character.
+ENTER_CITED, CITING = -6.0, -0.5
 #: a character that a state can't explain; what a broken sequence costs more than under the clean state
 IMPOSSIBLE, BROKEN = -40.0, -2.0
 LOSS = "\ufffd"
@@ -202,6 +205,7 @@ class Model:
             e = self._emissions(piece)
             more = np.maximum(e[:, 1:] - e[:, :1], 0.0)
             # Either one state explains the run, or the path pays for changing states within it.
+            more[:, CITED] = 0.0
             found = e.astype("float32"), float(max(more.sum(axis=0).max(), more.max(axis=1).sum() + ENTER + LEAVE))
             if len(piece) <= KEPT_CHARS:
                 if len(self.kept) >= KEPT:
@@ -223,8 +227,6 @@ class Model:
         for s, spans in enumerate(readings(run)):
             prev, at = before, 0
             for a, z, c in spans:
-                if len(spans) <= 2 and piece[spans[0][0]] in OPENING and piece[spans[-1][1] + 1] in CLOSING:
-                    break  # one or two characters within quotation marks are cited
                 if a > at:
                     prev = run[a - 1]
                 e[a:z, 1 + s] = self.pair(prev, c) / (z - a)
@@ -238,12 +240,14 @@ class Model:
                         e[i, 1 + s] = e[i, 0] + BROKEN
         for i, c in enumerate(run):
             if c == LOSS:
-                left = before if i == 0 else run[i - 1]
-                right = after if i == n - 1 else run[i + 1]
-                alone = left.isspace() and right.isspace() or left in OPENING and right in CLOSING
-                touching = not alone  # a mark that stands by itself or in quotation marks is spoken of
-                e[i, 0] = -16.0 if touching else -4.0
-                e[i, 1 + LOST] = -1.0 if touching else -4.0
+                e[i, 0], e[i, 1 + LOST] = -16.0, -1.0
+        opened = next((k for k, c in enumerate(piece) if c in OPENING), len(piece))
+        closed = next((k for k in range(len(piece) - 1, -1, -1) if piece[k] in CLOSING), -1)
+        for i, c in enumerate(run):
+            left, right = before if i == 0 else run[i - 1], after if i == n - 1 else run[i + 1]
+            # What stands within quotation marks, or a mark of loss by itself, may be spoken of: as garbled as any state has it.
+            if opened < i + 1 < closed or c == LOSS and (left.isspace() and right.isspace() or left in OPENING and right in CLOSING):
+                e[i, 1 + CITED] = e[i, 1 : 1 + CITED].max() + CITING
         return e
 
 
@@ -261,7 +265,10 @@ def viterbi(blocks: list[np.ndarray]) -> list[np.ndarray]:
     e = np.zeros((longest, many, width), dtype="float32")
     for k, b in enumerate(blocks):
         e[: len(b), k] = b
-    score = np.full((many, width), ENTER, dtype="float32")
+    enter = np.full(width, ENTER, dtype="float32")
+    enter[1 + CITED : 2 + CITED] = ENTER_CITED
+    switch = enter + (SWITCH - ENTER)
+    score = np.repeat(enter[None, :], many, axis=0)
     score[:, 0] = 0.0
     back = np.zeros((longest, many, width), dtype="int16")
     own = np.arange(width, dtype="int16")[None, :]
@@ -269,11 +276,11 @@ def viterbi(blocks: list[np.ndarray]) -> list[np.ndarray]:
         if i:
             best = score[:, 1:].argmax(axis=1) + 1
             top = np.take_along_axis(score, best[:, None], 1)[:, 0]
-            come = np.maximum(score[:, 0] + ENTER, top + SWITCH)
-            origin = np.where(score[:, 0] + ENTER >= top + SWITCH, 0, best)
-            moved = score < come[:, None]
-            back[i] = np.where(moved, origin[:, None], own)
-            new = np.where(moved, come[:, None], score)
+            clean, other = score[:, :1] + enter[None, :], top[:, None] + switch[None, :]
+            come = np.maximum(clean, other)
+            moved = score < come
+            back[i] = np.where(moved, np.where(clean >= other, 0, best[:, None]), own)
+            new = np.where(moved, come, score)
             home = top + LEAVE > score[:, 0]
             back[i, :, 0] = np.where(home, best, 0)
             new[:, 0] = np.where(home, top + LEAVE, score[:, 0])
@@ -369,6 +376,7 @@ def _label(ids: list, texts: list[str], model: Model) -> Iterator[tuple]:
         group, todo = todo[:n], todo[n:]
         paths = viterbi([np.concatenate([model.emissions(p)[0] for p in pieces]) for _, _, pieces, _ in group])
         for (i, t, _, _), labels in zip(group, paths):
+            labels = np.where(labels == 1 + CITED, 0, labels)
             found = sorted({int(x) - 1 for x in labels if x})
             if found:
                 fixed, whole = restore(t, labels)
@@ -424,7 +432,7 @@ def garbled(docs: DataFrame, rounds: int = 2) -> DataFrame:
 
     Viterbi training: the character model is fitted on all texts but for runs that are UTF-8 misread, then the texts found garbled are
     left out or, where that worked, restored, and it is fitted again. Null, empty, blank and pure ASCII texts are clean. Texts are never shortened. A text that only cites garbled characters
-    within quotation marks or alone between blanks explains them no better by any state and stays clean.
+    within quotation marks or alone between blanks is labelled as citing them and stays clean.
     """
     counts = train(docs)
     for _ in range(rounds - 1):

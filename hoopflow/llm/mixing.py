@@ -18,6 +18,8 @@ from hoopflow.llm.tokens import VOCABULARY, token_counts
 from hoopflow.session import cut
 
 BLOCK, FAN = 20_000, 64
+#: A plan of so many rows at most (mixes times sources) is joined by broadcast, a larger one by a shuffle.
+PLANNED = 100_000
 ROW = "mix_id string, source string, doc_id long, n_tokens long, whole long, p double, key long, block long"
 
 
@@ -87,13 +89,16 @@ def choose(sized: DataFrame, targets: DataFrame, seed: int = 7) -> DataFrame:
     planned = plan(sizes.drop("n_docs"), targets).where("copies > 0")
     n = sizes.agg(F.max("n_docs")).first()[0] or 0
     blocks = max(1, -(-n // BLOCK))
-    rows = sized.where("n_tokens > 0").join(F.broadcast(planned.select("mix_id", "source", "copies")), "source")
+    planned = cut(planned.select("mix_id", "source", "copies"))
+    rows = sized.where("n_tokens > 0").join(F.broadcast(planned) if planned.count() <= PLANNED else planned, "source")
     whole = F.floor(F.col("copies") + 1e-9)
     rows = rows.select(
         "mix_id", "source", "doc_id", "n_tokens", whole.cast("long").alias("whole"), F.greatest(F.col("copies") - whole, F.lit(0.0)).alias("p"),
         F.xxhash64("doc_id", F.lit(seed)).alias("key"),
     ).withColumn("block", F.pmod("key", F.lit(blocks)))
-    parts, level = [], 0
+    # Whole numbers of copies are settled; only fractions are rounded.
+    settled = ~F.col("p").between(1e-9, 1 - 1e-9)
+    parts, rows, level = [rows.where(settled).withColumn("p", F.round("p"))], rows.where(~settled), 0
     while True:
         last = blocks == 1
         rounded = cut(rows.groupBy("mix_id", "source", "block").applyInPandas(_round_block(seed, level, last), ROW))

@@ -1,8 +1,9 @@
 """Encoding of a corpus with a public byte-level BPE through a table of distinct words.
 
-Spark splits the texts into the tokenizer's own words, each distinct word is encoded once, and the ids are joined back by position.
-The most frequent words (at most HEAD of them, by arithmetic: each has at least 1/HEAD of all occurrences) are joined by broadcast,
-so no word is hot in the shuffled join that does the rest.
+Spark splits the texts into the tokenizer's own words once and writes them, with a number per row, to the shared folder; each distinct
+word is encoded once, and ids are joined back by position. A token moves as one packed number (place of the word, place in the
+word, id). Frequent words (each at least 1/HEAD of all occurrences, so at most HEAD of them) are joined by broadcast; frequent words
+too long for that are spread over SPREAD copies of their row, so no word is hot in the shuffled join that does the rest.
 """
 
 from __future__ import annotations
@@ -15,10 +16,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoopflow.session import cut
+from hoopflow.session import cut, work_dir
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-HEAD, HEAD_CHARS = 4096, 64
+HEAD, HEAD_CHARS, SPREAD = 1 << 16, 64, 32
+#: Bits of a packed token: the id, and the token's place within its word.
+ID_BITS, SUB_BITS = 18, 18
 #: The tokenizer's split into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -32,12 +35,10 @@ def words_of(text: Column) -> Column:
 
 
 def split_words(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """_r, keep..., pos, word: one row per word; a text without words has one row with nulls. _r numbers the rows, so equal rows stay apart.
-
-    docs is read twice and must number its rows alike both times: a table as it is read, or one that was materialised.
-    """
-    rows = docs.select(F.monotonically_increasing_id().alias("_r"), *keep, words_of(F.col("text")).alias("w"))
-    return rows.select("_r", *keep, F.posexplode_outer("w").alias("pos", "word"))
+    """_r, keep..., w: a number per row, so equal rows stay apart, and its words. Written once, so every reader has the same numbers."""
+    at = work_dir(docs.sparkSession, "words")
+    docs.select(F.monotonically_increasing_id().alias("_r"), *keep, words_of(F.col("text")).alias("w")).write.parquet(at)
+    return docs.sparkSession.read.parquet(at)
 
 
 def encode_words(words: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -58,37 +59,54 @@ class Encoded:
     """The words of a corpus and their table, ready to be joined."""
 
     def __init__(self, docs: DataFrame, vocabulary: str = VOCABULARY, keep: tuple[str, ...] = ("doc_id",)) -> None:
-        self.keep, self.words = keep, split_words(docs, keep)
-        distinct = self.words.where(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        self.keep, self.rows = keep, split_words(docs, keep)
+        distinct = self.rows.select(F.explode("w").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         self.table = cut(encode_words(distinct, vocabulary))
         total = self.table.agg(F.sum("n")).first()[0] or 0
-        often = (F.col("n") * HEAD >= F.lit(total)) & (F.length("word") <= HEAD_CHARS)
-        self.head, self.tail = self.table.where(often), self.table.where(~often)
+        often, short = F.col("n") * HEAD >= F.lit(total), F.length("word") <= HEAD_CHARS
+        self.head, self.tail, self.heavy = self.table.where(often & short), self.table.where(~(often & short)), self.table.where(often & ~short)
 
     def join(self, value: Column, name: str) -> DataFrame:
-        """_r, keep..., pos and the value of each word; one row with nulls for a text without words."""
-        w = self.words
+        """_r, pos and the value of each word."""
+        w = self.rows.select("_r", F.posexplode("w").alias("pos", "word"))
         head = F.broadcast(self.head.select("word", value.alias(name)))
-        frequent = w.join(head, "word", "left").where(F.col(name).isNotNull() | F.col("word").isNull()).select("_r", *self.keep, "pos", name)
-        rare = w.where(F.col("word").isNotNull()).join(F.broadcast(self.head.select("word")), "word", "left_anti").join(self.tail.select("word", value.alias(name)), "word")
-        return frequent.unionByName(rare.select("_r", *self.keep, "pos", name))
+        frequent = w.join(head, "word").select("_r", "pos", name)
+        rare, tail, on = w.join(F.broadcast(self.head.select("word")), "word", "left_anti"), self.tail.select("word", value.alias(name)), ["word"]
+        if not self.heavy.isEmpty():
+            # Marked by a hash of bounded size on both sides, so words that only share it are spread alike.
+            mark = F.broadcast(self.heavy.select(F.xxhash64("word").alias("_h")).distinct())
+            rare = rare.join(mark, F.xxhash64("word") == F.col("_h"), "left").withColumn("_s", F.when(F.col("_h").isNotNull(), F.pmod("_r", F.lit(SPREAD))).otherwise(0)).drop("_h")
+            copies = F.when(F.col("_h").isNotNull(), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+            tail = tail.join(mark, F.xxhash64("word") == F.col("_h"), "left").withColumn("_s", F.explode(copies)).drop("_h")
+            on = ["word", "_s"]
+        return frequent.unionByName(rare.join(tail, on).select("_r", "pos", name))
+
+
+def packed(ids: Column) -> Column:
+    """The ids of a word as numbers that sort by its place, then by the token's; a part that doesn't fit is an error, not another number."""
+    whole = F.transform(ids, lambda x, i: F.shiftleft(F.col("pos").cast("long"), ID_BITS + SUB_BITS).bitwiseOR(F.shiftleft(i.cast("long"), ID_BITS)).bitwiseOR(x.cast("long")))
+    fits = (F.col("pos") < 1 << (62 - ID_BITS - SUB_BITS)) & (F.size(ids) < 1 << SUB_BITS)
+    return F.when(fits, whole).otherwise(F.raise_error(F.lit("a text has too many words, or a word too many tokens, for a packed number")))
 
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, ids. Null, empty and only null texts have an empty list; blank texts have the ids of their blanks.
 
     Special tokens are never produced: their strings in a text are ordinary text. Every input row has one output row, repeated
-    rows and null doc_ids included. Words of one text meet in one row, which is what the result asks for.
+    rows and null doc_ids included. The tokens of one text meet in one row, which is what the result asks for.
     """
-    at = Encoded(docs, vocabulary).join(F.col("ids"), "ids")
-    both = at.groupBy("_r", "doc_id").agg(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "ids")))).alias("w"))
-    return both.select("doc_id", F.flatten(F.transform("w", lambda x: x["ids"])).alias("ids"))
+    e = Encoded(docs, vocabulary)
+    at = e.join(F.col("ids"), "ids").select("_r", F.explode(packed(F.col("ids"))).alias("t"))
+    ids = F.transform(F.sort_array("t"), lambda x: x.bitwiseAND(F.lit((1 << ID_BITS) - 1)).cast("int"))
+    both = at.groupBy("_r").agg(F.collect_list("t").alias("t")).select("_r", ids.alias("ids"))
+    return e.rows.select("_r", "doc_id").join(both, "_r", "left").select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
 
 
 def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep..., n_tokens of each row; 0 for null and empty texts."""
-    at = Encoded(docs, vocabulary, keep).join(F.size("ids").cast("long"), "k")
-    return at.groupBy("_r", *keep).agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n_tokens")).drop("_r")
+    e = Encoded(docs, vocabulary, keep)
+    at = e.join(F.size("ids").cast("long"), "k").groupBy("_r").agg(F.sum("k").alias("n_tokens"))
+    return e.rows.select("_r", *keep).join(at, "_r", "left").select(*keep, F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"))
 
 
 def decode(encoded: DataFrame, spark: SparkSession, vocabulary: str = VOCABULARY) -> DataFrame:

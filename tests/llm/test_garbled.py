@@ -27,7 +27,7 @@ CASES = [
 ]
 SOUND = [
     (9100, None), (9101, ""), (9102, "   "), (9103, "plain ASCII only"), (9104, "The feed printed “Ã©” where the sheet has “é”."), (9105, "The board shows � for letters its font lacks."),
-    (9106, "Currency column shows € and £, temperatures in °C."), (9107, "capitán " * 5000),
+    (9108, "Export note: ‘â€™’ in old files stands for an apostrophe."), (9106, "Currency column shows € and £, temperatures in °C."), (9107, "capitán " * 5000),
 ]
 
 
