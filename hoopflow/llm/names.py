@@ -1,19 +1,19 @@
 """Variant spellings of names typed by people.
 
 Distinct tokens meet through a symmetric-delete index: two tokens few edits apart share a string that is left after deleting letters
-from each. Names that have such a token in common, and beginnings of another, are aligned by the best assignment of their tokens, in
-which initials, abbreviations and short forms may stand for a token; short forms are learnt from spellings known to be one person's.
-What else the rows say of two aligned names (shirt number, years, clubs, games played together) are votes, and a generative model
-that is fitted without labels says which pairs are one person.
-
-No name pairs all its rows: rows meet on a name's tokens together with a piece of evidence (shirt number, club and year, or league
-and year), each evidence a join of its own, so a name or a given name that a third of all rows carry spreads over these.
+from each. Distinct names that have such a token in common are aligned by the best assignment of their tokens, in which initials,
+abbreviations and short forms may stand for a token; short forms are learnt from spellings known to be one person's. What else the
+rows say of two aligned names (shirt number, years, clubs, games played together) are votes, and a generative model that is fitted
+without labels says which pairs are one person.
+
+Nothing pairs all rows of a name: a token that many names share (a given name) only joins names whose other tokens begin alike, and
+rows meet on a pair of names together with a piece of evidence (shirt number, club and year, or league and year), so a name or a
+given name that a third of all rows carry spreads over these.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -48,29 +48,40 @@ def token_pairs(names: DataFrame) -> DataFrame:
     return cut(near.union(near.select("b", "a")).union(tokens.select("token", F.col("token").alias("x"))))
 
 
-def listed(df: DataFrame, begins: bool) -> DataFrame:
-    """The rows once for each token of ``name`` and, if ``begins``, for each of the first two letters of its other tokens (any letter, where
-    there are none): two aligned names agree in both for some token."""
+def partners(names: DataFrame) -> DataFrame:
+    """token, rare: how few other tokens a token occurs with: 1 up to two, 0 up to nine, -1 beyond (given names, as a rule)."""
     t = F.split("name", " ")
-    out = df.select("*", F.posexplode(t).alias("_i", "token")).where("length(token) > 1")
-    if not begins:
-        return out.drop("_i")
+    pairs = names.select("name", F.explode(t).alias("token")).where("length(token) > 1").withColumn("other", F.explode(t)).where("token != other and length(other) > 1")
+    n = pairs.groupBy("token").agg(F.count_distinct("other").alias("n"))
+    return n.select("token", F.when(F.col("n") <= 2, 1).when(F.col("n") <= 9, 0).otherwise(-1).alias("rare"))
+
+
+def listed(names: DataFrame) -> DataFrame:
+    """name, token, begins: each name under its tokens, with the first two letters of its other tokens (any letter, where there are none)."""
     others = F.expr("filter(split(name, ' '), (x, j) -> j <> _i)")
     first = F.array_distinct(F.filter(F.flatten(F.transform(others, lambda x: F.array(F.substring(x, 1, 1), F.substring(x, 2, 1)))), lambda c: c != ""))
     any_letter = F.array(*[F.lit(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"])
-    return out.select("*", F.explode(F.when(F.size(first) > 0, first).otherwise(any_letter)).alias("begin")).drop("_i")
+    out = names.select("name", F.posexplode(F.split("name", " ")).alias("_i", "token")).where("length(token) > 1")
+    return out.select("name", "token", F.when(F.size(first) > 0, first).otherwise(any_letter).alias("begins"))
 
 
-def meet(left: DataFrame, right: DataFrame, same: DataFrame, by: list[str], ids: tuple[str, str], begins: bool = True) -> DataFrame:
-    """ids, name_a, name_b of rows that agree in ``by`` and have a token in common. left, right: an id, ``by`` (not null), name."""
-    on = [*by, "token", *(["begin"] if begins else [])]
-    a = listed(left, begins).withColumnRenamed("name", "name_a").join(same.select(F.col("a").alias("token"), "b"), "token").drop("token").withColumnRenamed("b", "token")
-    b = listed(right, begins).withColumnRenamed("name", "name_b")
-    return a.join(b, on).select(*ids, "name_a", "name_b")
+def meeting(names: DataFrame, same: DataFrame, rare: DataFrame) -> DataFrame:
+    """name_a, name_b (a <= b): names that have a token in common and, if that is a common one, agree in the beginning of another.
+
+    Of any two names that ``align`` accepts some token pair is met here: where the shared tokens are common, two aligned names agree in
+    one of the first two letters of some other token.
+    """
+    any_begin = F.array(F.lit(""))
+    own = listed(names).join(rare, "token", "left").withColumn("common", F.coalesce(F.col("rare") == -1, F.lit(False)))
+    b = own.select(F.col("name").alias("name_b"), "token", F.explode(F.when(F.col("common"), F.col("begins")).otherwise(any_begin)).alias("begin"))
+    to = same.join(rare.withColumnRenamed("token", "b"), "b", "left").select(F.col("a").alias("token"), "b", F.coalesce(F.col("rare") == -1, F.lit(False)).alias("to_common"))
+    a = own.select(F.col("name").alias("name_a"), "token", "begins").join(to, "token")
+    a = a.select("name_a", F.col("b").alias("token"), F.explode(F.when(F.col("to_common"), F.col("begins")).otherwise(any_begin)).alias("begin"))
+    return a.join(b, ["token", "begin"]).where("name_a <= name_b").select("name_a", "name_b").distinct()
 
 
 def aligned(pairs: DataFrame) -> DataFrame:
-    """name_a, name_b, family, given, extra, odd of each distinct pair of names that has a token in common."""
+    """name_a, name_b, family, given, extra, odd, top of the pairs whose family names are the same."""
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
@@ -78,46 +89,63 @@ def aligned(pairs: DataFrame) -> DataFrame:
             p = p.assign(**{k: [x[i] for x in s] for i, k in enumerate(("family", "given", "extra", "odd", "top"))})
             yield p[p["family"] >= SAME]
 
-    return pairs.select("name_a", "name_b").distinct().mapInPandas(score, "name_a string, name_b string, family double, given double, extra int, odd string, top string")
+    return pairs.mapInPandas(score, "name_a string, name_b string, family double, given double, extra int, odd string, top string")
 
 
-def short_forms(known: DataFrame) -> DataFrame:
-    """odd: token pairs that stand for each other. known: name_a, name_b, who: spellings of one person."""
-    seen = known.join(aligned(known).where("odd != ''"), ["name_a", "name_b"])
-    return cut(seen.groupBy("odd").agg(F.count_distinct("who").alias("n")).where(F.col("n") >= SHOWN).select("odd"))
+def names_alike(names: DataFrame, one: DataFrame) -> DataFrame:
+    """name_a, name_b (both ways round), worth, family_level, given_level, rare_level of names that may be one person's.
 
+    names: distinct folded names. one: name_a, name_b, who: spellings known to be one person's, from which short forms are learnt: token
+    pairs that stand for each other with SHOWN different people. A learnt short form is no different token; different tokens
+    without two letters in common are further apart than others.
+    """
+    rare = cut(partners(names))
+    pairs = cut(aligned(meeting(names, token_pairs(names), rare)))
+    ordered = one.select(F.least("name_a", "name_b").alias("name_a"), F.greatest("name_a", "name_b").alias("name_b"), "who")
+    shown = ordered.join(pairs.where("odd != ''"), ["name_a", "name_b"]).groupBy("odd").agg(F.count_distinct("who").alias("n")).where(F.col("n") >= SHOWN)
+    both = pairs.join(shown, "odd", "left").join(rare.withColumnRenamed("token", "top"), "top", "left")
+    alike = F.expr("exists(sequence(1, length(split_part(odd, '|', 1)) - 1), i -> contains(split_part(odd, '|', 2), substring(split_part(odd, '|', 1), i, 2)))")
+    given = F.when(F.col("n").isNotNull(), F.lit(LEARNT)).when((F.col("odd") != "") & ~alike, F.lit(UNLIKE)).otherwise(F.col("given"))
+    level = F.when(given >= 0.85, 2).when(given >= 0.6, 1).when(given >= LIKE, 0).when(given > UNLIKE, -1).otherwise(-2)
+    both = both.select(
+        "name_a", "name_b", (F.col("family") + given - F.col("extra") / 4).alias("worth"), ((F.col("family") >= 0.99).cast("int") - (F.col("extra") > 0).cast("int")).alias("family_level"),
+        level.alias("given_level"), F.coalesce("rare", F.lit(1)).alias("rare_level"),
+    )
+    turned = both.where("name_a != name_b").select(F.col("name_b").alias("name_a"), F.col("name_a").alias("name_b"), "worth", *SPELLING)
+    return cut(both.unionByName(turned))
 
-def partners(names: DataFrame) -> DataFrame:
-    """top, rare: how few other tokens a token occurs with: 1 up to two, 0 up to nine, -1 beyond (given names, as a rule)."""
-    t = F.split("name", " ")
-    pairs = names.select("name", F.explode(t).alias("top")).where("length(top) > 1").withColumn("other", F.explode(t)).where("top != other and length(other) > 1")
-    n = pairs.groupBy("top").agg(F.count_distinct("other").alias("n"))
-    return cut(n.select("top", F.when(F.col("n") <= 2, 1).when(F.col("n") <= 9, 0).otherwise(-1).alias("rare")))
+
+SPELLING = ["family_level", "given_level", "rare_level"]
+
+
+def meet(left: DataFrame, right: DataFrame, alike: DataFrame, ids: tuple[str, str]) -> DataFrame:
+    """ids and the levels of their best spellings. left, right: an id, name, ``ev`` (pieces of evidence; the first letter is their kind).
+
+    Rows meet on a pair of names and a piece of evidence. Given names that differ need two kinds of evidence: they may be short forms nobody has
+    shown yet.
+    """
+    a = left.select(ids[0], F.col("name").alias("name_a"), F.explode("ev").alias("ev")).join(alike, "name_a")
+    b = right.select(ids[1], F.col("name").alias("name_b"), F.explode("ev").alias("ev"))
+    met = a.join(b, ["name_b", "ev"])
+    if ids == ("a", "b"):
+        met = met.where("a < b")
+    best = met.groupBy(*ids).agg(F.max(F.struct("worth", *SPELLING)).alias("s"), F.count_distinct(F.left("ev", F.lit(1))).alias("kinds"))
+    return best.where("s.given_level >= 0 or kinds > 1").select(*ids, *[F.col("s")[c].alias(c) for c in SPELLING])
 
 
-class Names:
-    """What names are compared with: token pairs, how rare tokens are, and learnt short forms."""
+def evidence(kind: str, *parts: Column) -> Column:
+    """One piece of evidence as text; null where a part is unknown."""
+    return F.concat(F.lit(kind), *[x for p in parts for x in (F.lit("|"), p.cast("string"))])
 
-    def __init__(self, names: DataFrame) -> None:
-        self.same, self.rare, self.forms = token_pairs(names), partners(names), None
 
-    def spelled(self, met: DataFrame) -> DataFrame:
-        """The met rows with family, given, extra and rare of their names. A learnt short form is no different token; different tokens
-        without two letters in common are further apart than others."""
-        both = aligned(met).join(self.rare, "top", "left").withColumn("rare", F.coalesce("rare", F.lit(1)))
-        both = both.join(self.forms.withColumn("_known", F.lit(True)), "odd", "left")
-        alike = F.expr("exists(sequence(1, length(split_part(odd, '|', 1)) - 1), i -> contains(split_part(odd, '|', 2), substring(split_part(odd, '|', 1), i, 2)))")
-        given = F.when(F.col("_known"), F.lit(LEARNT)).when((F.col("odd") != "") & ~alike, F.lit(UNLIKE)).otherwise(F.col("given"))
-        both = both.withColumn("given", given)
-        return met.join(both.drop("odd", "_known", "top"), ["name_a", "name_b"])
+def evidences(*pieces: Column) -> Column:
+    """The pieces that are known."""
+    return F.array_distinct(F.array_compact(F.flatten(F.array(*pieces))))
 
 
-def best_spelling(met: DataFrame, ids: tuple[str, str]) -> DataFrame:
-    """One row per pair of ids: the names that agree best, as levels."""
-    worth = F.col("family") + F.col("given") - F.col("extra") / 4
-    best = met.groupBy(*ids).agg(F.max(F.struct(worth, "family", "given", "extra", "rare")).alias("s")).select(*ids, "s.family", "s.given", "s.extra", "s.rare")
-    level = F.when(F.col("given") >= 0.85, 2).when(F.col("given") >= 0.6, 1).when(F.col("given") >= LIKE, 0).when(F.col("given") > UNLIKE, -1).otherwise(-2)
-    return best.select(*ids, ((F.col("family") >= 0.99).cast("int") - (F.col("extra") > 0).cast("int")).alias("family_level"), level.alias("given_level"), F.col("rare").alias("rare_level"))
+def around(year: Column, make) -> Column:
+    """A piece for the year before, the year and the year after."""
+    return F.array(*[make(year + k) for k in (-1, 0, 1)])
 
 
 def components(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -149,23 +177,16 @@ REGISTERED_START = {"rare_level": 0.5, "family_level": 0.5, "given_level": 1.0,
 REGISTERED_EVEN = 3.0
 
 
-def same_registrations(regs: DataFrame, names: DataFrame, facts: DataFrame, known: Names) -> DataFrame:
+def same_registrations(regs: DataFrame, names: DataFrame, facts: DataFrame, alike: DataFrame) -> DataFrame:
     """a, b (a < b): two registrations of one person by the model's posterior.
 
-    Pairs meet on the shirt number, or on a club in the same or the next year; with both in common, the other tokens may begin with
-    anything. Leagues, years, and whether the two ever played in the same game are votes, none of them a condition.
+    Pairs meet on the shirt number, or on a club in the same or the next year. Leagues, years, and whether the two ever played in the same game are votes, none of them a condition.
     """
     own = names.select("pid", "name").join(regs.select("pid", "dorsal", "stays"), "pid")
-    worn = own.where("dorsal is not null").select("pid", "name", "dorsal")
-    stay = own.select("pid", "name", "dorsal", F.explode("stays").alias("s")).select("pid", "name", "dorsal", "s.club", "s.year").distinct()
-    two = lambda d, s: d.withColumnRenamed("pid", s)
-    around = stay.select("pid", "name", "dorsal", "club", F.explode(F.array(F.col("year") - 1, F.col("year"), F.col("year") + 1)).alias("year"))
-    met = [
-        meet(two(worn, "a"), two(worn, "b"), known.same, ["dorsal"], ("a", "b")),
-        meet(two(around.drop("dorsal"), "a"), two(stay.drop("dorsal"), "b"), known.same, ["club", "year"], ("a", "b")),
-        meet(two(around.where("dorsal is not null"), "a"), two(stay.where("dorsal is not null"), "b"), known.same, ["club", "year", "dorsal"], ("a", "b"), begins=False),
-    ]
-    pair = cut(best_spelling(known.spelled(reduce(DataFrame.union, met).where("a < b").distinct()), ("a", "b")))
+    number, here = F.array(evidence("d", F.col("dorsal"))), F.transform("stays", lambda s: evidence("c", s["club"], s["year"]))
+    near = F.flatten(F.transform("stays", lambda s: around(s["year"], lambda y: evidence("c", s["club"], y))))
+    left, right = own.select(F.col("pid").alias("a"), "name", evidences(number, near).alias("ev")), own.select(F.col("pid").alias("b"), "name", evidences(number, here).alias("ev"))
+    pair = cut(meet(left, right, alike, ("a", "b")))
     for side in ("a", "b"):
         pair = pair.join(regs.select(F.col("pid").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("league", "dorsal", "lo", "hi", "stays")]), side)
     gap = F.greatest(F.col("lo_a") - F.col("hi_b"), F.col("lo_b") - F.col("hi_a"))
@@ -180,21 +201,21 @@ def same_registrations(regs: DataFrame, names: DataFrame, facts: DataFrame, know
     return posterior(cut(votes), REGISTERED, REGISTERED_START, REGISTERED_EVEN)
 
 
-def persons(facts: DataFrame, decided: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Names]:
-    """(pid, person); one row per person (person, dorsal, lo, hi, stays, names); (person, name); and what names are compared with."""
+def persons(facts: DataFrame, decided: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(pid, person); one row per person (person, dorsal, lo, hi, stays); (person, name); and the names that are alike."""
     players = facts.where("not total")
     regs, names = people.registrations(players)
     regs, names = cut(regs), cut(names)
-    known = Names(names.select("name").union(decided.select("name")).union(decided.where("full is not null").select("full")).distinct())
     main = names.groupBy("pid").agg(F.max_by("name", F.struct("n", "name")).alias("name_b"))
     own = names.select("pid", F.col("name").alias("name_a")).join(main, "pid").where("name_a != name_b").select("name_a", "name_b", F.col("pid").alias("who"))
     told = decided.where("status = 'confirmed' and full is not null and name != full").select(F.col("name").alias("name_a"), F.col("full").alias("name_b"), F.col("full").alias("who"))
-    known.forms = short_forms(own.union(told))
-    links = same_registrations(regs, names, players, known).where("confidence >= 0.5 and together_votes = 0")
+    every = names.select("name").union(decided.select("name")).union(decided.where("full is not null").select("full")).distinct()
+    alike = names_alike(cut(every), own.union(told))
+    links = same_registrations(regs, names, players, alike).where("confidence >= 0.5 and together_votes = 0")
     label = cut(components(links, regs.select(F.col("pid").alias("node"))).withColumnRenamed("node", "pid"))
     spellings = cut(names.join(label, "pid").select("person", "name").distinct())
     whole = regs.join(label, "pid").groupBy("person").agg(F.max_by("dorsal", "n").alias("dorsal"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.array_distinct(F.flatten(F.collect_list("stays"))).alias("stays"))
-    return label, cut(whole.join(spellings.groupBy("person").agg(F.collect_set("name").alias("names")), "person")), spellings, known
+    return label, cut(whole), spellings, alike
 
 
 #: The functions that vote on a decision and a person.
@@ -206,34 +227,24 @@ MEANT_START = {"rare_level": 0.5, "family_level": 0.5, "given_level": 0.8, "dors
 MEANT_EVEN = 2.5
 
 
-def decision_candidates(decided: DataFrame, whole: DataFrame, spellings: DataFrame, known: Names) -> DataFrame:
+def decision_candidates(decided: DataFrame, whole: DataFrame, spellings: DataFrame, alike: DataFrame) -> DataFrame:
     """Decisions and persons whose names align, with what each field says of the pair: for (above 0), against (below 0), or nothing (0).
 
     They meet on the shirt number, on a club in the same or the next year, on the club the notes name, or on league and season (a year
-    more or less). With two of these in common, the other tokens may begin with anything: a given name that doesn't align may be a short
-    form nobody has shown yet.
+    more or less).
     """
     ids = ("decision_id", "person")
-    own = spellings.join(whole.select("person", F.col("dorsal"), "stays"), "person")
-    stay = own.select("person", "name", "dorsal", F.explode("stays").alias("s")).select("person", "name", "dorsal", "s.league", "s.club", "s.year")
-    clubs, years = stay.select("person", "name", "dorsal", "club", "year").distinct(), stay.select("person", "name", "dorsal", "league", "year").distinct()
-    d = decided.select("decision_id", "name", "league", "year", "club", "before", "dorsal")
-    around = lambda df: df.withColumn("year", F.explode(F.array(F.col("year") - 1, F.col("year"), F.col("year") + 1)))
-
-    def on(left: DataFrame, right: DataFrame, by: list[str], begins: bool = True) -> DataFrame:
-        there = " and ".join(f"{c} is not null" for c in by)
-        return meet(left.where(there).select("decision_id", "name", *by), right.where(there).select("person", "name", *by).distinct(), known.same, by, ids, begins)
-
-    met = [
-        on(d, own, ["dorsal"]), on(around(d), clubs, ["club", "year"]), on(d.drop("club").withColumnRenamed("before", "club"), clubs, ["club"]), on(around(d), years, ["league", "year"]),
-        on(d, clubs, ["dorsal", "club"], False), on(d, years, ["dorsal", "league", "year"], False), on(d.where("dorsal is null"), clubs, ["club", "year"], False),
-    ]
-    pair = cut(best_spelling(known.spelled(reduce(DataFrame.union, met).distinct()), ids))
+    own = spellings.join(whole.select("person", "dorsal", "stays"), "person")
+    stay = lambda make: F.transform("stays", make)
+    held = [stay(lambda s: evidence("d", s["league"], F.col("dorsal"))), stay(lambda s: evidence("c", s["club"], s["year"])), stay(lambda s: evidence("b", s["club"])), stay(lambda s: evidence("y", s["league"], s["year"]))]
+    league, year = F.col("league"), F.col("year")
+    told = [F.array(evidence("d", league, F.col("dorsal"))), around(year, lambda y: evidence("c", F.col("club"), y)), F.array(evidence("b", F.col("before"))), around(year, lambda y: evidence("y", league, y))]
+    pair = cut(meet(decided.select("decision_id", "name", evidences(*told).alias("ev")), own.select("person", "name", evidences(*held).alias("ev")), alike, ids))
     rivals = pair.where("given_level >= 0").groupBy("decision_id").agg(F.count(F.lit(1)).alias("rivals"))
     # How the confirmed or turned down name agrees with the person's spellings: 2 and 1 well, -2 not, 0 where none is given.
-    given = pair.select(*ids).join(decided.where("full is not null").select("decision_id", F.col("full").alias("name_a")), "decision_id").join(spellings.select("person", F.col("name").alias("name_b")), "person")
-    level = F.when(F.col("given") >= 0.7, 2).when(F.col("given") >= 0.5, 1).otherwise(-2)
-    like = known.spelled(given).groupBy(*ids).agg(F.max(level).alias("like"))
+    given = pair.select(*ids).join(decided.where("full is not null").select("decision_id", F.col("full").alias("name_a")), "decision_id").join(alike.select("name_a", "name_b", "given_level"), "name_a")
+    level = F.when(F.col("given_level") >= 1, 2).when(F.col("given_level") == 0, 1).otherwise(-2)
+    like = given.join(spellings.withColumnRenamed("name", "name_b"), ["person", "name_b"]).groupBy(*ids).agg(F.max(level).alias("like"))
     w = whole.select("person", F.col("dorsal").alias("w_dorsal"), "lo", "hi", "stays")
     pair = pair.join(decided.drop("name"), "decision_id").join(w, "person").join(like, list(ids), "left").join(rivals, "decision_id", "left")
     pair = pair.withColumn("like", F.when(F.col("full").isNull(), 0).otherwise(F.coalesce("like", F.lit(-2))))
@@ -272,22 +283,18 @@ DECIDED_START = {"rare_level": 0.5, "family_level": 0.5, "given_level": 1.0, "do
 DECIDED_EVEN = 1.5
 
 
-def same_decisions(decided: DataFrame, attached: DataFrame, known: Names) -> DataFrame:
+def same_decisions(decided: DataFrame, attached: DataFrame, alike: DataFrame) -> DataFrame:
     """decision_id, person of all decisions: those attached to a person of the box score, and the others grouped among themselves.
 
     Two decisions that fit no one meet on a shirt number, a club in the same or the next year, or league and season, and belong
     together by the model's posterior over what their fields say.
     """
     rest = cut(decided.join(attached.select("decision_id"), "decision_id", "left_anti"))
-    around = lambda df: df.withColumn("year", F.explode(F.array(F.col("year") - 1, F.col("year"), F.col("year") + 1)))
-
-    def on(left: DataFrame, by: list[str]) -> DataFrame:
-        there = " and ".join(f"{c} is not null" for c in by)
-        side = lambda df, s: df.where(there).select(F.col("decision_id").alias(s), "name", *by)
-        return meet(side(left, "a"), side(rest, "b"), known.same, by, ("a", "b"))
-
-    met = reduce(DataFrame.union, [on(rest, ["league", "dorsal"]), on(around(rest), ["club", "year"]), on(rest, ["league", "year"])]).where("a < b").distinct()
-    pair = best_spelling(known.spelled(met), ("a", "b"))
+    league, year = F.col("league"), F.col("year")
+    exact = [F.array(evidence("d", league, F.col("dorsal"))), F.array(evidence("y", league, year))]
+    left = rest.select(F.col("decision_id").alias("a"), "name", evidences(*exact, around(year, lambda y: evidence("c", F.col("club"), y))).alias("ev"))
+    right = rest.select(F.col("decision_id").alias("b"), "name", evidences(*exact, F.array(evidence("c", F.col("club"), year))).alias("ev"))
+    pair = cut(meet(left, right, alike, ("a", "b")))
     for s in ("a", "b"):
         pair = pair.join(rest.select(F.col("decision_id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("league", "year", "club", "dorsal", "position")]), s)
     season = F.when((F.col("year_a") == F.col("year_b")) & (F.col("league_a") == F.col("league_b")), 1).when(F.abs(F.col("year_a") - F.col("year_b")) > 1, -1).otherwise(0)
@@ -304,15 +311,15 @@ def pairs_within(member: DataFrame, key: str) -> DataFrame:
     return a.join(b, "person").where("ref_a < ref_b").select("ref_a", "ref_b").distinct()
 
 
-def linked(box: DataFrame, table: DataFrame, clubs: DataFrame, players: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, Names]:
-    """(pid, person), the decisions, (decision_id, person, confidence), and what names were compared with."""
+def linked(box: DataFrame, table: DataFrame, clubs: DataFrame, players: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(pid, person), the decisions, (decision_id, person, confidence), and the names that are alike."""
     facts = cut(people.facts(box))
     decided = people.decisions(table, clubs, facts, players)
-    label, whole, spellings, known = persons(facts, decided)
-    return label, decided, cut(attach(decision_candidates(decided, whole, spellings, known))), known
+    label, whole, spellings, alike = persons(facts, decided)
+    return label, decided, cut(attach(decision_candidates(decided, whole, spellings, alike))), alike
 
 
 def found(box: DataFrame, table: DataFrame, clubs: DataFrame, players: DataFrame | None = None) -> DataFrame:
     """ref_a, ref_b: player_ids, and decision_ids, that stand for one person. Empty tables give no pairs; equal rows make one reference."""
-    label, decided, attached, known = linked(box, table, clubs, players)
-    return pairs_within(label, "pid").unionByName(pairs_within(same_decisions(decided, attached, known), "decision_id"))
+    label, decided, attached, alike = linked(box, table, clubs, players)
+    return pairs_within(label, "pid").unionByName(pairs_within(same_decisions(decided, attached, alike), "decision_id"))

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hoopflow.llm.spelling import distance, fold, tokens
-from hoopflow.operators.deliveries import is_total
 from hoopflow.session import cut
 
 CLUB_LIMIT = 20_000
@@ -25,8 +24,12 @@ def year_of(season: Column) -> Column:
     return F.regexp_extract(season, r"(\d+)", 1).try_cast("int")
 
 
+#: Blanks that untidy codes contain.
+BLANKS = " \t\n\r\u00a0"
+
+
 def _code(c: Column) -> Column:
-    b = F.upper(F.regexp_replace(c, r"[\s\u00a0]+", ""))
+    b = F.upper(F.translate(c, BLANKS, ""))
     return F.when(b != "", b)
 
 
@@ -36,14 +39,16 @@ def facts(box: DataFrame) -> DataFrame:
     ``games`` are the numbers of the season's games, so their set is bounded by a season. Rows without player_id can't be referred to and
     are left out; a club counts only if it is one of the game's two.
     """
-    clubs = F.split(F.upper(F.regexp_replace("game", r"\s", "")), "-")
-    club, code = _code(F.col("team_id")), _code(F.col("player_id"))
+    sides = F.concat(F.lit("-"), F.upper(F.translate("game", BLANKS, "")), F.lit("-"))
+    of_game = lambda code: F.contains(sides, F.concat(F.lit("-"), code, F.lit("-")))
+    club, code, dorsal = _code(F.col("team_id")), _code(F.col("player_id")), _code(F.col("dorsal"))
     number = F.coalesce(F.regexp_extract(F.col("game_id"), r"(\d+)\W*$", 1).try_cast("int"), F.hash("game_id"))
     rows = box.where(F.col("player_id").isNotNull()).select(
-        F.col("player_id").alias("pid"), league_of(F.col("season_code")).alias("league"), year_of(F.col("season_code")).alias("year"),
-        F.when(F.array_contains(clubs, club), club).alias("club"), _code(F.col("dorsal")).alias("dorsal"), "player", is_total(code, F.col("dorsal"), F.col("game")).alias("total"), number.alias("game"),
+        F.col("player_id").alias("pid"), "season_code", F.when(of_game(club), club).alias("club"), dorsal.alias("dorsal"), "player",
+        F.coalesce((dorsal == "TOTAL") | of_game(code), F.lit(False)).alias("total"), number.alias("game"),
     )
-    return rows.groupBy("pid", "league", "year", "club", "dorsal", "player", "total").agg(F.count(F.lit(1)).alias("n"), F.collect_set("game").alias("games"))
+    summed = rows.groupBy("pid", "season_code", "club", "dorsal", "player", "total").agg(F.count(F.lit(1)).alias("n"), F.collect_set("game").alias("games"))
+    return summed.withColumn("league", league_of(F.col("season_code"))).withColumn("year", year_of(F.col("season_code"))).drop("season_code")
 
 
 def fold_names(df: DataFrame, column: str, out: str = "name") -> DataFrame:
