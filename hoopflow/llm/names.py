@@ -73,11 +73,17 @@ def meeting(names: DataFrame, same: DataFrame, rare: DataFrame) -> DataFrame:
     """
     any_begin = F.array(F.lit(""))
     own = listed(names).join(rare, "token", "left").withColumn("common", F.coalesce(F.col("rare") == -1, F.lit(False)))
-    b = own.select(F.col("name").alias("name_b"), "token", F.explode(F.when(F.col("common"), F.col("begins")).otherwise(any_begin)).alias("begin"))
+    b = own.select(F.col("name").alias("name_b"), F.col("token").alias("token_b"), "common", F.explode(F.when(F.col("common"), F.col("begins")).otherwise(any_begin)).alias("begin"))
     to = same.join(rare.withColumnRenamed("token", "b"), "b", "left").select(F.col("a").alias("token"), "b", F.coalesce(F.col("rare") == -1, F.lit(False)).alias("to_common"))
     a = own.select(F.col("name").alias("name_a"), "token", "begins").join(to, "token")
-    a = a.select("name_a", F.col("b").alias("token"), F.explode(F.when(F.col("to_common"), F.col("begins")).otherwise(any_begin)).alias("begin"))
-    return a.join(b, ["token", "begin"]).where("name_a <= name_b").select("name_a", "name_b").distinct()
+    a = a.select("name_a", F.col("token").alias("token_a"), F.col("b").alias("token_b"), F.explode(F.when(F.col("to_common"), F.col("begins")).otherwise(any_begin)).alias("begin"))
+    # What ``token_score`` asks of other tokens, a little wider: the exact alignment follows.
+    tail = "substring(if(length(x) > length(y), x, y), 1, least(length(x), length(y)))"
+    close = f"startswith(x, y) or startswith(y, x) or levenshtein(x, y, 4) >= 0 or levenshtein(if(length(x) > length(y), y, x), {tail}, 2) >= 0"
+    other = f"exists(split(name_a, ' '), x -> x <> token_a and exists(split(name_b, ' '), y -> y <> token_b and ({close})))"
+    alone = "not contains(name_a, ' ') or not contains(name_b, ' ')"
+    met = a.join(b, ["token_b", "begin"]).where(f"name_a <= name_b and (not common or name_a = name_b or {alone} or {other})")
+    return met.select("name_a", "name_b").distinct()
 
 
 def aligned(pairs: DataFrame) -> DataFrame:
@@ -111,6 +117,8 @@ def names_alike(names: DataFrame, one: DataFrame) -> DataFrame:
         "name_a", "name_b", (F.col("family") + given - F.col("extra") / 4).alias("worth"), ((F.col("family") >= 0.99).cast("int") - (F.col("extra") > 0).cast("int")).alias("family_level"),
         level.alias("given_level"), F.coalesce("rare", F.lit(1)).alias("rare_level"),
     )
+    # Two names that only share a given name are not alike.
+    both = both.where("given_level >= 0 or rare_level >= 0")
     turned = both.where("name_a != name_b").select(F.col("name_b").alias("name_a"), F.col("name_a").alias("name_b"), "worth", *SPELLING)
     return cut(both.unionByName(turned))
 

@@ -42,7 +42,7 @@ def facts(box: DataFrame) -> DataFrame:
     sides = F.concat(F.lit("-"), F.upper(F.translate("game", BLANKS, "")), F.lit("-"))
     of_game = lambda code: F.contains(sides, F.concat(F.lit("-"), code, F.lit("-")))
     club, code, dorsal = _code(F.col("team_id")), _code(F.col("player_id")), _code(F.col("dorsal"))
-    number = F.coalesce(F.regexp_extract(F.col("game_id"), r"(\d+)\W*$", 1).try_cast("int"), F.hash("game_id"))
+    number = F.coalesce(F.split_part(F.translate("game_id", "-./:" + BLANKS, "____"), F.lit("_"), F.lit(-1)).try_cast("int"), F.hash("game_id"))
     rows = box.where(F.col("player_id").isNotNull()).select(
         F.col("player_id").alias("pid"), "season_code", F.when(of_game(club), club).alias("club"), dorsal.alias("dorsal"), "player",
         F.coalesce((dorsal == "TOTAL") | of_game(code), F.lit(False)).alias("total"), number.alias("game"),
