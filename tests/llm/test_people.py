@@ -62,10 +62,11 @@ def test_accepted_names_meet_in_the_index(parts, turned):
 @pytest.mark.parametrize("common", [False, True])
 def test_meeting_names_in_spark(spark, common):
     spelled = ["LI WU", "WU LI", "KIM ALEXANDER", "KIM ALEX", "J KOSTOVIC", "J KASTOVAC", "KOSTOVIC", "IVAN KOSTOVIC MARIC", "NOBODY AT ALL", "A B", "KOSTOVIC JURE", "NIKOLAS V", "NIKOLAS VARDO", "NIKOLAAS VRADO"]
-    rows = spark.createDataFrame([(n,) for n in spelled], "name string")
-    rare = names.partners(rows)
+    rows = spark.createDataFrame([("E", n) for n in spelled], "league string, name string")
+    same = names.token_pairs(rows)
+    rare = names.partners(rows, same)
     rare = rare.withColumn("rare", rare["rare"] * 0 - 1) if common else rare
-    got = {frozenset((r["name_a"], r["name_b"])) for r in names.meeting(rows, names.token_pairs(rows), rare).collect()}
+    got = {frozenset((r["name_a"], r["name_b"])) for r in names.meeting(rows, same, rare).collect()}
     for x in spelled:
         for y in spelled:
             s = S.align(tuple(x.split()), tuple(y.split()))
