@@ -183,6 +183,18 @@ def box_only(box: DataFrame, entries: DataFrame, lookup: DataFrame) -> DataFrame
     return with_club(per, "team_id", lookup).select(F.col("team_id").alias("team"), F.coalesce("club", F.lit("")).alias("club"), "player", "games", "rounds")
 
 
+def status_counts(entries: DataFrame) -> DataFrame:
+    """match_status, matched_by, names, clubs: how many listed names ended how, and at which clubs (sorted, '' for unknown ones)."""
+    return entries.groupBy("match_status", "matched_by").agg(F.count(F.lit(1)).alias("names"), F.array_sort(F.collect_set(F.coalesce("team", F.lit("")))).alias("clubs"))
+
+
+def audit_cases(entries: DataFrame, hinted: DataFrame) -> DataFrame:
+    """case, club, players: the audit's report: listed only, in the box score only (likely or not listed), and of an unknown team."""
+    listed = stats_only(entries).select(F.lit("listed only").alias("case"), "club")
+    boxed = hinted.select(F.when(F.col("verdict") == "unknown team", "unknown team").when(F.col("verdict") == "likely", "box score only, likely").otherwise("box score only").alias("case"), "club")
+    return listed.unionByName(boxed).groupBy("case", F.coalesce("club", F.lit("")).alias("club")).agg(F.count(F.lit(1)).alias("players"))
+
+
 def hints(boxed: DataFrame, entries: DataFrame) -> DataFrame:
     """What the audit says of each unresolved box-score player, with same-club listed players of his surname."""
     free = entries.where("match_status <> 'exact'").select(F.col("stats_team").alias("s_team"), F.col("stats_name").alias("s_name"), F.col("team").alias("s_club"), F.col("match_status").alias("s_status"))

@@ -12,6 +12,7 @@ SLOW, FAST = 5, 3
 POSITIONS = ("C", "F", "G")
 PLAYER = ["player_normalized", "team_id", "position"]
 
+#: The columns of the box score's figures, of the sheets, and the indicators' names.
 STATS = [
     "points", "two_points_made", "two_points_attempted", "three_points_made", "three_points_attempted", "free_throws_made", "free_throws_attempted",
     "offensive_rebounds", "defensive_rebounds", "total_rebounds", "assists", "steals", "turnovers", "blocks_favour", "blocks_against", "fouls_committed", "fouls_received",
@@ -51,6 +52,14 @@ def name_players(df: DataFrame, entries: DataFrame, lookup: DataFrame) -> DataFr
     return named.where("player_normalized is not null")
 
 
+def drop_counts(prepared: DataFrame, named: DataFrame, joined: DataFrame) -> DataFrame:
+    """step, rows, players: what the map and the price list leave out. prepared, named, joined: the rows before, after the map, and after the price list."""
+    key = ["game_player_id"]
+    lost = prepared.join(named.select(*key), key, "left_anti").select(F.lit("unknown player").alias("step"), F.col("player").alias("p"))
+    free = named.join(joined.select(*key).distinct(), key, "left_anti").select(F.lit("no price or position").alias("step"), F.col("player_normalized").alias("p"))
+    return lost.unionByName(free).groupBy("step").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("p").alias("players"))
+
+
 def season_stats(stats: DataFrame, by: list[str]) -> DataFrame:
     """One row per player (and ``by``): the first in price-list order of those with one full name."""
     first = Window.partitionBy(*by, "player_normalized").orderBy("rank", "player_id", "position", "quotation")
@@ -179,10 +188,10 @@ def next_round(box: DataFrame) -> int:
 def round_games(schedule: DataFrame, gameday: int | Column, by: tuple[str, ...] = ()) -> DataFrame:
     """Games of a round with their turn: 2 on its latest date if it has several, else 1."""
     games = schedule.where(F.col("gameday") == gameday).withColumn("_d", F.to_date("date", "MMM d, yyyy"))
-    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
-    late, early = F.max("_d").over(whole), F.min("_d").over(whole)
-    turn = F.when((F.col("_d") == late) & (late != early), 2).otherwise(1)
-    return games.withColumn("turn", turn).drop("_d")
+    ends = games.groupBy(*by).agg(F.max("_d").alias("_late"), F.min("_d").alias("_early"))
+    both = games.join(ends, list(by)) if by else games.join(F.broadcast(ends))  # one row where there is no ``by``
+    turn = F.when((F.col("_d") == F.col("_late")) & (F.col("_late") != F.col("_early")), 2).otherwise(1)
+    return both.withColumn("turn", turn).drop("_d", "_late", "_early")
 
 
 def by_team(games: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import zipfile
 from pathlib import Path
 from xml.sax.saxutils import escape
@@ -22,6 +24,18 @@ def write_map(entries: DataFrame, path: str) -> None:
     write_ordered(flat, path, ["stats_team", "stats_name"])
 
 
+def write_schedule(rows: DataFrame, folder: str, season: str) -> Path:
+    """A season's schedule as one file, whole or not at all; an older one is replaced."""
+    at = Path(folder)
+    at.mkdir(parents=True, exist_ok=True)
+    staged = at / f".schedule_{season}"
+    rows.orderBy("gamecode").coalesce(1).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(f"file://{staged}")
+    out = at / f"schedule_{season}.csv"
+    os.replace(next(staged.glob("part-*.csv")), out)
+    shutil.rmtree(staged)
+    return out
+
+
 def write_sheets(sheets: dict[str, DataFrame], folder: str) -> None:
     """A parquet folder per sheet: no limit on rows."""
     for name, df in sheets.items():

@@ -111,3 +111,52 @@ def test_empty_cells_and_missing_columns(spark):
         frame.model_frame(p.drop("turn"), Optimization())
     with pytest.raises(ValueError, match="empty"):
         frame.model_frame(p.selectExpr("* except (exp_pir)", "cast(null as double) as exp_pir"), Optimization())
+
+
+def league(seed=7):
+    """680 players: 20 clubs with 13 G, 13 F and 8 C each, and a legal current squad."""
+    r = random.Random(seed)
+    rows = [(f"{p}{c:02d}{k:02d}", f"T{c}", p, r.choice([1, 2]), round(r.uniform(4, 16), 1), r.uniform(-3, 22), r.uniform(-0.5, 0.5)) for c in range(20) for p, n in (("G", 13), ("F", 13), ("C", 8)) for k in range(n)]
+    prev = {x for p, n in kernel.SQUAD.items() for x in r.sample([row[0] for row in rows if row[2] == p], n)}
+    name, team, pos, turn, price, score, growth = zip(*rows)
+    return kernel.Pool(list(name), list(team), list(pos), list(turn), np.array(price), np.array([int(x in prev) for x in name]), np.array(score), np.array(growth))
+
+
+def test_680_candidates_in_time_and_twice_the_same():
+    import time
+
+    began = time.perf_counter()
+    once, again = (kernel.solve(league(), kernel.Rules(1.5, 4, 3.0)) for _ in range(2))
+    assert once == again and time.perf_counter() - began < 60
+
+
+def test_a_credit_is_priced_without_the_growth_term(spark):
+    df = table(spark, universe(1))
+    solved = solves.solve_all(df, {"x": (Optimization(cash=3.0, max_trades=3, credit_value=40.0), None)}).persist()
+    s = solves.sensitivity(solved).first()
+    pool = universe(1)
+    best = {c: enumerate_all(pool, kernel.Rules(c, 3, 0.0)) for c in (3.0, 4.0)}
+    assert s["worth_of_a_credit"] == pytest.approx(best[4.0] - best[3.0])
+    report = {(r["section"], r["metric"]): r["value"] for r in solves.report_sheet(solved, {"x": (Optimization(cash=3.0, max_trades=3, credit_value=40.0), None)}).collect()}
+    money = {r["metric"]: r["value"] for r in solves.summary(solved).where("kind = 'main'").collect()}
+    assert report["solver", "status"] == "optimal" and report["parameters", "max_trades"] == "3" and report["scenario", "roster"] == "table"
+    assert float(report["squad", "cash_after"]) == pytest.approx(3.0 + money["cash_change"], abs=1e-6) and float(report["squad", "cash_before"]) == 3.0
+    assert ("line-up", "pir_mean_points") not in report and float(report["line-up", "exp_pir_points"]) == pytest.approx(money["target_points"], abs=1e-5)
+    assert "one more credit" in solves.format_credit_value(solved, "x") and solves.format_credit_value(solved, "y") == "y: no squad"
+
+
+def test_scenarios_are_checked(spark, tmp_path):
+    f = tmp_path / "s.toml"
+    f.write_text('[home]\ncash = 5.0\n[away]\nroster = ["p01"]\n')
+    known = solves.load_scenarios(str(f))
+    assert [s.key for s in solves.select_scenarios(known, "away, home,away")] == ["away", "home"] and solves.select_scenarios(known, " all ") == known
+    for bad, word in ((",", "names no"), ("homme", "close: ")):
+        with pytest.raises(ValueError, match=word):
+            solves.select_scenarios(known, bad)
+    with pytest.raises(ValueError, match="p99.*close"):
+        solves.run_scenarios(table(spark, universe(1)), Optimization(), [solves.Scenario("x", ("p01", "p99"))])
+    f.write_text('[Bad Key]\n[two]\nroster = ["a", "a"]\n'.replace("[Bad Key]", '["Bad Key"]'))
+    with pytest.raises(ValueError, match="Bad Key.*two"):
+        solves.load_scenarios(str(f))
+    with pytest.raises(ValueError, match="close"):
+        frame.check_parameters(frame.model_frame(table(spark, universe(1)), Optimization()), Optimization(must_have=("p0l",)))
