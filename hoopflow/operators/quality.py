@@ -12,9 +12,9 @@ class DataQualityError(ValueError):
     """A table breaks its contract; the message names the rows."""
 
 
-def blank_row(df: DataFrame) -> Column:
-    """All cells null or blank text."""
-    return F.forall(F.array(*[F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) for c in df.columns]), lambda x: x == "")
+def blank_row(df: DataFrame, *of: str) -> Column:
+    """All cells (or those of the columns ``of``) null or blank text."""
+    return F.forall(F.array(*[F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) for c in of or df.columns]), lambda x: x == "")
 
 
 def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
@@ -22,8 +22,8 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.where(~blank_row(df)).groupBy(*[F.col(k).cast("string").alias(k) for k in key]).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def blank_rows(df: DataFrame) -> DataFrame:
-    return df.where(blank_row(df))
+def blank_rows(df: DataFrame, *of: str) -> DataFrame:
+    return df.where(blank_row(df, *of))
 
 
 def validate(df: DataFrame, key: list[str], name: str) -> DataFrame:

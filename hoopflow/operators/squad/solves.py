@@ -207,6 +207,18 @@ def sensitivity(solved: DataFrame) -> DataFrame:
     )
 
 
+def lineup_of(pdf: pd.DataFrame) -> pd.DataFrame:
+    """season_code, team_id, points, captain of the best line-up of one squad; null points where it isn't made of 4 G, 4 F and 2 C."""
+    p = pdf.sort_values("player_normalized", kind="stable", ignore_index=True)
+    n, none = len(p), np.zeros(len(p))
+    out = {"season_code": p.season_code[:1], "team_id": p.team_id[:1], "points": [None], "captain": [None]}
+    if p.position.value_counts().to_dict() == kernel.SQUAD:
+        pool = kernel.Pool(p.player_normalized.tolist(), [str(i // 5) for i in range(n)], p.position.tolist(), [1] * n, none + 1.0, (none + 1).astype("int64"), p.score.to_numpy("float64"), none)
+        value, members = kernel.solve(pool, kernel.Rules(0.0))
+        out |= {"points": [round(value, 4)], "captain": [pool.player[next(i for i, _, c in members if c)]]}
+    return pd.DataFrame(out).astype({"points": "float64"})
+
+
 def format_report(solved: DataFrame, scenario: str) -> str:
     """A text report of one scenario's main solve; a squad has ten rows."""
     rows = selection_sheet(solved).where((F.col("scenario") == scenario) & ((F.col("selected") == 1) | (F.col("action") == "sell"))).collect()

@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hoopflow.config import Optimization
 from hoopflow.functions import text as X
+from hoopflow.functions.ids import game_key
 from hoopflow.operators import entity, features, merge, quality
 from hoopflow.operators.deliveries import first_deliveries
-from hoopflow.operators.squad import frame, solves
-from hoopflow.plans.data_queries import _MESSAGE
-from hoopflow.session import cut, table
-
-KEEP = [
-    "season_code", "game_player_id", "game_id", "player_id", "phase", "round", "game", "team_id", "dorsal", "player", "valuation", "is_starter", "is_playing", "minutes", *features.STATS, "plus_minus",
-]
+from hoopflow.operators.squad import frame, kernel, solves
+from hoopflow.plans.data_queries import _GAME, _MESSAGE
+from hoopflow.plans.lineage import JOBS, Lineage, closure, edge_frame
+from hoopflow.session import cut, table, work_dir
+from hoopflow.sources import live, sinks, tables
+
+#: What the indicators, and what the matching of names, read of the box score.
+PREPARED = ("season_code", "game_player_id", "game_id", "player_id", "phase", "round", "game", "team_id", "dorsal", "player", "valuation", "minutes")
+PEOPLE = ("season_code", "game_id", "player_id", "team_id", "dorsal", "player", "minutes", "round")
 CFG = Optimization(target="pir_mean", robustness_lambda=0.1, upside_beta=0.2, downside_gamma=0.1, cash=100.0, unlimited_trades=True, credit_value=3.0)
 
 
-def box(spark: SparkSession, d: str) -> DataFrame:
-    """The merged box score: the first delivery of each message, team codes tidied."""
-    return first_deliveries(table(spark, d, "euroleague_box_score"), *KEEP).drop("message").withColumn("team_id", F.upper(F.trim("team_id")))
+def box(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """The merged box score: the asked columns of the first delivery of each message, team codes tidied."""
+    rows = first_deliveries(table(spark, d, "euroleague_box_score"), *columns).drop("message")
+    return rows.withColumn("team_id", F.upper(F.trim("team_id"))) if "team_id" in columns else rows
 
 
 def schedule(spark: SparkSession, d: str) -> DataFrame:
@@ -43,12 +50,12 @@ def prices(spark: SparkSession, d: str) -> DataFrame:
 
 
 def prepare_boxscore(spark: SparkSession, d: str) -> DataFrame:
-    p = features.prepare_boxscore(box(spark, d), 2000)
+    p = features.prepare_boxscore(box(spark, d, *PREPARED), 2000)
     return p.select("game_player_id", "year", "team_id", "opponent", "homeaway", "minutes", "minutes_num")
 
 
 def _keyed(spark: SparkSession, d: str) -> DataFrame:
-    p = features.prepare_boxscore(box(spark, d), 2000)
+    p = features.prepare_boxscore(box(spark, d, *PREPARED), 2000)
     return p.withColumn("player_normalized", X.match_key(X.abbreviate_name(X.reorder_name(F.col("player")))))
 
 
@@ -145,11 +152,14 @@ def teams_distinct(spark: SparkSession, d: str) -> DataFrame:
     return features.teams_sheet(register(spark, d))
 
 
-def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """History and increments: the last two seasons come as increments, the history still holds one of them."""
-    b = box(spark, d).select("season_code", "game_player_id", "valuation")
+MERGED = ("season_code", "game_player_id", "valuation")
+
+
+def _split(spark: SparkSession, d: str, since: int = 2025) -> tuple[DataFrame, DataFrame]:
+    """History and increments: seasons from ``since`` on come as increments, the history still holds the first of them."""
+    b = box(spark, d, *MERGED)
     year = F.regexp_extract("season_code", r"(\d+)", 1).cast("int")
-    return b.where(year <= 2024), b.where(year >= 2024)
+    return b.where(year <= since), b.where(year >= since)
 
 
 def merge_deltas(spark: SparkSession, d: str) -> DataFrame:
@@ -164,12 +174,28 @@ def merge_covered_seasons(spark: SparkSession, d: str) -> DataFrame:
 
 def merge_base_season(spark: SparkSession, d: str) -> DataFrame:
     """The history's last season under the increments of later ones."""
-    base, deltas = _split(spark, d)
+    base, deltas = _split(spark, d, 2024)
     season = base.agg(F.max("season_code")).first()[0]
     later = deltas.where(F.col("season_code") > season)
     return merge.merge(base, later, season) if season else later
 
 
+def merge_files(spark: SparkSession, d: str) -> DataFrame:
+    """The same through files: a history, an increment per season named by its time, read as text with checked headers."""
+    base, deltas = _split(spark, d)
+    at = Path(work_dir(spark, "files").removeprefix("file://"))
+    sinks.write_ordered(base, f"file://{at}/history", ["game_player_id"])
+    deltas.write.partitionBy("season_code").options(**sinks.AS_WRITTEN).csv(f"file://{at}/staged")
+    (at / "increments").mkdir()
+    for season in sorted(at.glob("staged/season_code=*")):
+        rows = spark.read.option("header", True).csv(f"file://{season}").withColumn("season_code", F.lit(season.name.partition("=")[2])).select(*MERGED)
+        sinks.write_ordered(rows, f"file://{at}/one", ["game_player_id"])
+        next((at / "one").glob("part-*.csv")).rename(at / "increments" / f"{season.name.partition('=')[2]}_delta_20260101T000000Z.csv")
+    history = tables.read_text(spark, f"file://{at}/history", list(MERGED)).withColumn("_rank", F.lit(0))
+    out = merge.merge(history, tables.read_deltas(spark, str(at / "increments"), list(MERGED)).withColumn("_rank", F.lit(1)))
+    return out.select("season_code", "game_player_id", F.col("valuation").cast("int").alias("valuation"))
+
+
 def dedupe_lowest_rank(spark: SparkSession, d: str) -> DataFrame:
     kept = merge.lowest_rank(table(spark, d, "fantasy_players"), ["season_code", "round", "player_id"], "rank", ("name", "team"))
     return kept.select("season_code", "round", "player_id", "rank")
@@ -180,7 +206,7 @@ def duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 def blank_rows(spark: SparkSession, d: str) -> DataFrame:
-    return quality.blank_rows(table(spark, d, "documents").select("text", "lang", "club_code")).groupBy().agg(F.count(F.lit(1)).alias("n"))
+    return quality.blank_rows(table(spark, d, "documents"), "text").select("doc_id")
 
 
 def _players(spark: SparkSession, d: str) -> DataFrame:
@@ -208,25 +234,35 @@ def _lookup(spark: SparkSession, d: str) -> DataFrame:
     return entity.team_lookup(entity.team_entries(register(spark, d)))
 
 
+def _people(spark: SparkSession, d: str) -> DataFrame:
+    """What names are matched with, merged once."""
+    return cut(box(spark, d, *PEOPLE))
+
+
 def spelling_pools(spark: SparkSession, d: str) -> DataFrame:
-    return entity.spelling_pool(box(spark, d)).withColumn("owners", F.array_join("owners", "|"))
+    return entity.spelling_pool(box(spark, d, *PEOPLE)).withColumn("owners", F.array_join("owners", "|"))
 
 
 def recent_season_pool(spark: SparkSession, d: str) -> DataFrame:
-    return entity.club_pool(box(spark, d), _lookup(spark, d)).withColumn("owners", F.array_join("owners", "|"))
+    return entity.club_pool(_people(spark, d), _lookup(spark, d)).withColumn("owners", F.array_join("owners", "|"))
 
 
 def raw_spellings(spark: SparkSession, d: str) -> DataFrame:
-    return entity.raw_spellings(box(spark, d)).withColumn("raw", F.array_join("raw", "|"))
+    return entity.raw_spellings(box(spark, d, *PEOPLE)).withColumn("raw", F.array_join("raw", "|"))
 
 
-def _rows(spark: SparkSession, d: str) -> DataFrame:
-    b, lookup = box(spark, d), _lookup(spark, d)
+def _rows(spark: SparkSession, d: str, b: DataFrame) -> DataFrame:
+    lookup = _lookup(spark, d)
     return entity.match_rows(table(spark, d, "fantasy_players").where("team is not null and name is not null"), lookup, entity.club_pool(b, lookup), entity.spelling_pool(b))
 
 
 def candidate_status(spark: SparkSession, d: str) -> DataFrame:
-    return _rows(spark, d).select("team", "name", "club", "match_status", "matched_by")
+    return _rows(spark, d, _people(spark, d)).select("team", "name", "club", "match_status", "matched_by")
+
+
+def candidate_fallback(spark: SparkSession, d: str) -> DataFrame:
+    """Listed names that their own club's spellings don't settle, with what all clubs' spellings offer."""
+    return _rows(spark, d, _people(spark, d)).where("match_status != 'exact'").select("team", "name", "resolved_name", "match_status", "matched_by", "notes")
 
 
 def _decided(spark: SparkSession, d: str) -> DataFrame:
@@ -238,20 +274,31 @@ def _decided(spark: SparkSession, d: str) -> DataFrame:
 
 
 def decisions_overlay(spark: SparkSession, d: str) -> DataFrame:
-    return entity.apply_decisions(_rows(spark, d), _decided(spark, d)).select("team", "name", "match_status", "matched_by")
+    return entity.apply_decisions(_rows(spark, d, _people(spark, d)), _decided(spark, d)).select("team", "name", "match_status", "matched_by")
 
 
-def _entries(spark: SparkSession, d: str) -> DataFrame:
-    return entity.map_entries(entity.apply_decisions(_rows(spark, d), _decided(spark, d)), entity.raw_spellings(box(spark, d)))
+def _entries(spark: SparkSession, d: str, b: DataFrame) -> DataFrame:
+    return cut(entity.map_entries(entity.apply_decisions(_rows(spark, d, b), _decided(spark, d)), entity.raw_spellings(b)))
 
 
 def map_variants(spark: SparkSession, d: str) -> DataFrame:
-    return _entries(spark, d).withColumn("variants", F.array_join("variants", " | "))
+    return _entries(spark, d, _people(spark, d)).withColumn("variants", F.array_join("variants", " | "))
+
+
+def map_file(spark: SparkSession, d: str) -> DataFrame:
+    """The map written and read again."""
+    at = work_dir(spark, "map")
+    sinks.write_map(_entries(spark, d, _people(spark, d)), at)
+    return tables.read_map(spark, at).select("stats_team", "stats_name", "name", "match_status", F.array_join("variants", " | ").alias("variants"))
+
+
+def status_counts(spark: SparkSession, d: str) -> DataFrame:
+    return entity.status_counts(_entries(spark, d, _people(spark, d))).withColumn("clubs", F.array_join("clubs", "|"))
 
 
 def lookup_player(spark: SparkSession, d: str) -> DataFrame:
-    b = entity.with_club(box(spark, d).select("player", "team_id").distinct(), "team_id", _lookup(spark, d))
-    return entity.resolve_players(b, "player", "club", _entries(spark, d))
+    b = _people(spark, d)
+    return entity.resolve_players(entity.with_club(b.select("player", "team_id").distinct(), "team_id", _lookup(spark, d)), "player", "club", _entries(spark, d, b))
 
 
 def lookup_team(spark: SparkSession, d: str) -> DataFrame:
@@ -259,16 +306,102 @@ def lookup_team(spark: SparkSession, d: str) -> DataFrame:
 
 
 def audit_stats_only(spark: SparkSession, d: str) -> DataFrame:
-    return entity.stats_only(_entries(spark, d))
+    return entity.stats_only(_entries(spark, d, _people(spark, d)))
 
 
 def audit_box_only(spark: SparkSession, d: str) -> DataFrame:
-    return entity.box_only(box(spark, d), _entries(spark, d), _lookup(spark, d)).withColumn("rounds", F.array_join("rounds", ","))
+    b = _people(spark, d)
+    return entity.box_only(b, _entries(spark, d, b), _lookup(spark, d)).withColumn("rounds", F.array_join("rounds", ","))
 
 
 def audit_hint(spark: SparkSession, d: str) -> DataFrame:
-    e = _entries(spark, d)
-    return entity.hints(entity.box_only(box(spark, d), e, _lookup(spark, d)), e)
+    b = _people(spark, d)
+    e = _entries(spark, d, b)
+    return entity.hints(entity.box_only(b, e, _lookup(spark, d)), e)
+
+
+def audit_cases(spark: SparkSession, d: str) -> DataFrame:
+    b = _people(spark, d)
+    e = _entries(spark, d, b)
+    return entity.audit_cases(e, entity.hints(entity.box_only(b, e, _lookup(spark, d)), e))
+
+
+def _mapped(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Prepared rows, those whose player the map knows, and those with a price, the price list's names resolved by the map too."""
+    prepared = cut(features.prepare_boxscore(box(spark, d, *PREPARED), 2000))
+    b = cut(box(spark, d, *PEOPLE))
+    e, lookup = _entries(spark, d, b), _lookup(spark, d)
+    named = cut(features.name_players(prepared, e, lookup))
+    f = merge.lowest_rank(table(spark, d, "fantasy_players").where("round = 'all'"), ["season_code", "round", "player_id"], "rank", ("name", "team"))
+    stats = entity.resolve_players(entity.with_club(f, "team", lookup, "_club"), "name", "_club", e).withColumn("position", features.position_letter(F.col("position")))
+    return prepared, named, features.join_stats(named, stats.where("player_normalized is not null"), True, ("season_code",))
+
+
+def kpis_by_map(spark: SparkSession, d: str) -> DataFrame:
+    """The indicators through the map of names, as the workbook has them."""
+    return _six(features.player_kpis(_mapped(spark, d)[2]).select(*features.PLAYER, "crd_last", "pir_mean", "pir_last", "pir_std", "pir_slow", "mins_mean"))
+
+
+def drop_counts(spark: SparkSession, d: str) -> DataFrame:
+    return features.drop_counts(*_mapped(spark, d))
+
+
+def next_round_number(spark: SparkSession, d: str) -> DataFrame:
+    return spark.createDataFrame([(features.next_round(table(spark, d, "euroleague_box_score")),)], "next_round int")
+
+
+def json_props(spark: SparkSession, d: str) -> DataFrame:
+    """JSON read into a typed column and written again."""
+    p = F.from_json("props", "struct<k: bigint>")
+    return table(spark, d, "events").select("event_id", p["k"].alias("k"), F.to_json(F.struct(p["k"].alias("k"))).alias("state"))
+
+
+def live_box_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Box scores in the shape of live answers, taken apart again: games with two clubs that both have players and a TOTAL row."""
+    fields = {k: f for k, f in live.FIELDS.items() if k in (*PREPARED, "points", "plus_minus", "is_starter", "is_playing")}
+    b = box(spark, d, *dict.fromkeys([*PREPARED, *fields])).withColumn("g", game_key(F.col("game_id"))).where("team_id is not null and team_id != ''")
+    person = F.struct(F.col("player_id").alias("Player_ID"), *[F.col(k).alias(f) for k, f in fields.items()])
+    total = F.coalesce(F.col("dorsal"), F.lit("")) == "TOTAL"
+    per = b.groupBy("g", "team_id").agg(F.collect_list(F.when(~total, person)).alias("PlayersStats"), F.min(F.when(total, F.struct("game_player_id", person.alias("p"), "player"))).alias("t"))
+    per = per.where("size(PlayersStats) > 0 and t is not null").select("g", F.struct("team_id", F.col("t.player").alias("Team"), "PlayersStats", F.col("t.p").alias("totr")).alias("s"))
+    games = per.groupBy("g").agg(F.array_sort(F.collect_list("s")).alias("Stats")).where("size(Stats) = 2")
+    part = F.split("g", "_")
+    raw = games.select(F.lit("boxscore").alias("kind"), part[0].alias("season"), part[1].cast("int").alias("gamecode"), F.to_json(F.struct(F.lit(False).alias("Live"), "Stats")).alias("payload"))
+    rows = live.box_rows(raw, table(spark, d, "euroleague_game_header").select(F.col("season_code").alias("season"), F.split(game_key(F.col("game_id")), "_")[1].cast("int").alias("gamecode"), "round", "phase").distinct())
+    return rows.select("game_player_id", "game_id", "game", "round", "team_id", "dorsal", "player", "minutes", "is_starter", "points", "valuation", "plus_minus")
+
+
+def live_header_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Headers in the shape of live answers, taken apart again."""
+    h = table(spark, d, "euroleague_game_header").distinct()
+    cells = [F.col(k).cast("string").alias(f) for k, f in live.HEADER_FIELDS.items()]
+    cells += [F.date_format("date", "dd/MM/yyyy").alias("Date"), F.left("time", F.lit(5)).alias("Hour"), F.col("season_code").alias("pcom"), F.lit(False).alias("Live")]
+    cells += [F.col(f"score_quarter_{q}_{s}").alias(f"ScoreQuarter{q}{s.upper()}") for q in range(1, 5) for s in "ab"] + [F.coalesce(f"score_extra_time_1_{s}", F.lit(0)).alias(f"ScoreExtraTime{s.upper()}") for s in "ab"]
+    part = F.split(game_key(F.col("game_id")), "_")
+    raw = h.select(F.lit("header").alias("kind"), F.col("season_code").alias("season"), part[1].cast("int").alias("gamecode"), F.to_json(F.struct(*cells)).alias("payload"))
+    return live.header_rows(raw).select("game_id", "game", "date", "time", "round", "score_a", "score_b", "team_a", "capacity", "referee_3", "score_quarter_4_b", "score_extra_time_1_a")
+
+
+def schedule_answer(spark: SparkSession, d: str) -> DataFrame:
+    """The last season's schedule as the one answer it comes in."""
+    s = schedule(spark, d)
+    season = s.agg(F.max("season_code")).first()[0] or ""
+    cells = F.struct("gamecode", F.col("gameday").cast("string").alias("gameday"), "date", "homecode", "awaycode")
+    raw = s.where(F.col("season_code") == season).agg(F.to_json(F.collect_list(cells)).alias("payload"))
+    return live.schedule_rows(raw, season).select("gamecode", "gameday", "homecode", "awaycode")
+
+
+def price_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The price list in pages of columns and rows, put together again."""
+    f = table(spark, d, "fantasy_players").withColumn("page", F.floor(F.col("player_id") / 100))
+    data = F.struct(F.array(F.lit("name"), F.lit("fg-missed")).alias("columns"), F.collect_list(F.struct(F.col("player_id").alias("id"), F.array("name", "fg_missed").alias("row"))).alias("players"))
+    pages = f.groupBy("round", "page").agg(data.alias("data")).select("round", F.to_json(F.struct("data")).alias("payload"))
+    return live.fantasy_rows(pages).select("round", "player_id", F.col("cells")["name"].alias("name"), F.col("cells")["fg_missed"].alias("fg_missed"))
+
+
+def lineage_paths(spark: SparkSession, d: str) -> DataFrame:
+    """All pairs of datasets and jobs of this project with a path between them."""
+    return closure(edge_frame(spark, Lineage(list(JOBS))))
 
 
 def _candidates(spark: SparkSession, d: str) -> DataFrame:
@@ -291,16 +424,60 @@ def candidate_counts(spark: SparkSession, d: str) -> DataFrame:
     return frame.candidate_counts(frame.model_frame(_candidates(spark, d), CFG))
 
 
+def _ranked(spark: SparkSession, d: str) -> DataFrame:
+    """The last season's candidates with their place within the position by mean valuation."""
+    best = Window.partitionBy("position").orderBy(F.desc("pir_mean"), "player")
+    return _candidates(spark, d).withColumn("place", F.row_number().over(best))
+
+
+def _chosen(spark: SparkSession, d: str) -> DataFrame:
+    """A fixed solution: the best of each position, sold for it the next best."""
+    c, p, n = _ranked(spark, d), F.col("position"), F.col("place")
+    need = F.when(p == "C", 2).otherwise(4)
+    starter = ((p == "C") & (n == 1)) | ((p != "C") & (n <= 2))
+    role = F.when(starter, "starter").when((p == "G") & (n == 3), "sixth").when(n <= need, "bench").otherwise("none")
+    c = c.withColumn("role", role).withColumn("selected", (n <= need).cast("int")).withColumn("action", F.when(n <= need, "buy").when(n <= 2 * need, "sell").otherwise("none"))
+    top = Window.partitionBy(F.col("role") == "starter").orderBy(F.desc("pir_mean"), "player")
+    c = c.withColumn("is_captain", F.when((F.col("role") == "starter") & (F.row_number().over(top) == 1), 1).otherwise(0))
+    return c.select(F.lit("fixed").alias("scenario"), F.lit("main").alias("kind"), "player", "team", "position", F.col("crd_last").alias("price"), F.col("pir_mean").alias("score"), "role", "selected", "action", "is_captain")
+
+
+def selection_sheet(spark: SparkSession, d: str) -> DataFrame:
+    return solves.selection_sheet(_chosen(spark, d)).select("player", "position", "role", "action", "is_captain", F.col("place").alias("group_place"))
+
+
+def lineup_sum(spark: SparkSession, d: str) -> DataFrame:
+    return _chosen(spark, d).groupBy("scenario").agg(F.round(solves.lineup_sum("score"), 6).alias("points"), F.round(F.sum(F.col("selected") * F.col("price")), 6).alias("price"), F.count_if(F.col("action") == "sell").alias("sold"))
+
+
+def best_lineup(spark: SparkSession, d: str) -> DataFrame:
+    """Each club's and season's best line-up of its four best guards, four best forwards and two best centers."""
+    best = Window.partitionBy("season_code", "team_id", "position").orderBy(F.desc("score"), "player_normalized")
+    p = _joined(spark, d).groupBy("season_code", "team_id", "player_normalized", "position").agg(F.avg("valuation").alias("score")).where("score is not null")
+    p = p.withColumn("place", F.row_number().over(best)).where("place <= case position when 'C' then 2 else 4 end")
+    return p.groupBy("season_code", "team_id").applyInPandas(solves.lineup_of, "season_code string, team_id string, points double, captain string").where("points is not null")
+
+
+SMALL = replace(CFG, cash=90.0)
+
+
+def squad_optimum_small(spark: SparkSession, d: str) -> DataFrame:
+    """The best squad out of the six best guards, five best forwards and three best centers of the last season."""
+    few = _ranked(spark, d).where("place <= case position when 'G' then 6 when 'F' then 5 else 3 end").drop("place")
+    solved = solves.solve_all(cut(few), {"small": (SMALL, None)}, ("main",))
+    return solved.agg(F.round(F.max("objective"), 4).alias("objective"))
+
+
 def _solved(spark: SparkSession, d: str) -> DataFrame:
     return cut(solves.solve_all(cut(_candidates(spark, d)), {"plain": (CFG, None)}))
 
 
 def squad_optimum(spark: SparkSession, d: str) -> DataFrame:
-    return solves.selection_sheet(_solved(spark, d)).where("selected = 1 or action = 'sell'")
+    return solves.selection_sheet(_solved(spark, d)).where("selected = 1 or action = 'sell'").drop("seconds")
 
 
 def scenario_summary(spark: SparkSession, d: str) -> DataFrame:
-    return solves.summary(_solved(spark, d))
+    return solves.report_sheet(_solved(spark, d), {"plain": (CFG, None)})
 
 
 def squad_sensitivity(spark: SparkSession, d: str) -> DataFrame:
@@ -312,7 +489,8 @@ _NAMES = [
     grade_pivot_collected, hist_long, hist_wide, next_round_games, next_round_by_team, schedule_grades, analytical_record, optimizer_input, teams_distinct, merge_deltas,
     merge_covered_seasons, merge_base_season, dedupe_lowest_rank, duplicate_keys, blank_rows, normalize_names, match_keys, reorder_abbreviate, title_case, spelling_pools, recent_season_pool,
     raw_spellings, candidate_status, decisions_overlay, map_variants, lookup_player, lookup_team, audit_stats_only, audit_box_only, audit_hint, objective_components, input_rule_counts,
-    candidate_counts, squad_optimum, scenario_summary, squad_sensitivity,
+    candidate_counts, squad_optimum, scenario_summary, squad_sensitivity, merge_files, candidate_fallback, map_file, status_counts, audit_cases, kpis_by_map, drop_counts, next_round_number,
+    json_props, live_box_rows, live_header_rows, schedule_answer, price_pages, lineage_paths, selection_sheet, lineup_sum, best_lineup, squad_optimum_small,
 ]
 QUERIES = {f.__name__: f for f in _NAMES}
 
@@ -455,8 +633,86 @@ boxonly as (select p.team, coalesce(l.club, '') as club, p.player, p.games, p.ro
 _CANDIDATES = f"""{_RECORD},
 filled as (select player, team, position, turn, opponent, round(crd_last, 1) as crd_last, {_rounded(["pir_mean", "pir_p10", "pir_p90"])}, {_rounded(["pir_std"], _FILLED)} from record where turn is not null),
 candidates as (select * exclude (n) from (select *, row_number() over (partition by player order by pir_mean desc, team, position, opponent nulls first) as n from filled) where n = 1 and crd_last > 0)"""
+_PREPARED_ONLY = _PREPARED[len(_BOX) + 2 :]
+_MAPPED = f"""{_MATCHED}, {_PREPARED_ONLY},
+a as (select key, count(distinct name) as n, min(name) as name from known group by 1), b as (select key, club, count(distinct name) as n, min(name) as name from known group by 1, 2),
+named as (select * from (select p.*, case when a.n = 1 then a.name when b.n = 1 then b.name end as player_normalized from prepared p left join lookup l on {_norm("p.team_id")} = l.key
+  left join a on a.key = {_norm("p.player")} left join b on b.key = {_norm("p.player")} and b.club = l.club) where player_normalized is not null),
+priced as (select * exclude (n) from (select *, row_number() over (partition by season_code, round, player_id order by rank nulls last, name nulls first, team nulls first) as n from fantasy_players where round = 'all') where n = 1),
+resolved as (select * from (select p.season_code, p.rank, p.player_id, p.quotation, case position when 'Guard' then 'G' when 'Forward' then 'F' when 'Center' then 'C' end as position,
+  case when a.n = 1 then a.name when b.n = 1 then b.name end as player_normalized from priced p left join lookup l on {_norm("p.team")} = l.key left join a on a.key = {_norm("p.name")}
+  left join b on b.key = {_norm("p.name")} and b.club = l.club) where player_normalized is not null),
+season as (select * exclude (n) from (select *, row_number() over (partition by season_code, player_normalized order by rank nulls first, player_id nulls first, position nulls first, quotation nulls first) as n from resolved) where n = 1),
+joined as (select k.*, s.position, s.quotation from named k join season s on k.season_code = s.season_code and k.player_normalized = s.player_normalized where s.quotation is not null and s.position is not null)"""
+_HINTED = f"""{_BOXONLY},
+near as (select b.*, case when e.stats_name is not null then 1 end as t from boxonly b
+  left join (select * from entries where match_status <> 'exact') e on b.club = e.team and len(list_intersect(
+    list_filter(string_split({_norm("substr(e.stats_name, strpos(e.stats_name || ' ', ' ') + 1)")}, ' '), lambda x: x <> ''), string_split({_norm("b.player")}, ' '))) > 0),
+verdicts as (select team, club, player, case when club = '' then 'unknown team' when count(t) > 0 then 'box score only, likely' else 'box score only' end as case_ from near group by team, club, player)"""
+_RANKED = f"""{_CANDIDATES}, ranked as (select *, row_number() over (partition by position order by pir_mean desc, player) as place, case position when 'C' then 2 else 4 end as need from candidates)"""
+_CHOSEN = f"""{_RANKED},
+roled as (select *, case when (position = 'C' and place = 1) or (position <> 'C' and place <= 2) then 'starter' when position = 'G' and place = 3 then 'sixth' when place <= need then 'bench' else 'none' end as role,
+  case when place <= need then 'buy' when place <= 2 * need then 'sell' else 'none' end as action from ranked),
+chosen as (select *, case when role = 'starter' and row_number() over (partition by role = 'starter' order by pir_mean desc, player) = 1 then 1 else 0 end as is_captain from roled)"""
+_SPLITS = "(" + ", ".join(f"({g}, {f}, {c})" for g, f, c in kernel.ACTIVE) + ")"
+_EDGES = ", ".join(f"('{a}', '{b}')" for a, b in Lineage(list(JOBS)).edges())
+_LIVE = f"""{_BOX}, b as (select *, {_GAME.format(c="game_id")} as g from box where team_id is not null and team_id <> ''),
+clubbed0 as (select g, team_id, count(*) filter (where coalesce(dorsal, '') <> 'TOTAL') as n, min(game_player_id) filter (where dorsal = 'TOTAL') as total_id from b group by 1, 2),
+good as (select g, min(team_id) || '-' || max(team_id) as game from clubbed0 where n > 0 and total_id is not null group by g having count(*) = 2),
+sides0 as (select c.* from clubbed0 c join good using (g) where n > 0 and total_id is not null),
+heads as (select distinct {_GAME.format(c="game_id")} as g, round, phase from euroleague_game_header),
+ids as (select good.g, good.game, split_part(good.g, '_', 1) || '_' || lpad(split_part(good.g, '_', 2), cast(greatest(3, length(split_part(good.g, '_', 2))) as int), '0') as game_id, h.round from good left join heads h on h.g = good.g)"""
 
 SQL = {
+    "merge_files": f"""with {_BOX}, b as (select season_code, game_player_id, valuation, cast(regexp_extract(season_code, '([0-9]+)', 1) as int) as y from box)
+select season_code, game_player_id, valuation from b""",
+    "candidate_fallback": f"with {_MATCHED} select team, name, resolved_name, match_status, matched_by, notes from rows1 where match_status <> 'exact'",
+    "map_file": f"with {_MATCHED} select stats_team, stats_name, name, match_status, array_to_string(variants, ' | ') as variants from entries",
+    "status_counts": f"with {_MATCHED} select match_status, matched_by, count(*) as names, array_to_string(list_sort(list_distinct(list(coalesce(team, '')))), '|') as clubs from entries group by 1, 2",
+    "audit_cases": f"""with {_HINTED} select case_ as "case", club, count(*) as players from (
+  select 'listed only' as case_, coalesce(team, '') as club from entries where match_status not in ('exact', 'confirmed') union all select case_, club from verdicts) group by 1, 2""",
+    "kpis_by_map": f"with {_MAPPED}, {_kpis('joined')} select player_normalized, team_id, position, {_rounded(['crd_last', 'pir_mean', 'pir_last', 'pir_std', 'pir_slow', 'mins_mean'])} from kpis",
+    "drop_counts": f"""with {_MAPPED} select 'unknown player' as step, count(*) as rows, count(distinct player) as players from prepared where game_player_id not in (select game_player_id from named) having count(*) > 0
+union all select 'no price or position', count(*), count(distinct player_normalized) from named where game_player_id not in (select game_player_id from joined) having count(*) > 0""",
+    "next_round_number": "select cast(coalesce(max(round), 0) + 1 as int) as next_round from euroleague_box_score",
+    "json_props": "select event_id, cast(json_extract(props, '$.k') as bigint) as k, '{\"k\":' || json_extract_string(props, '$.k') || '}' as state from events",
+    "live_box_rows": f"""with {_LIVE}
+select i.game_id || '_' || trim(b.player_id) as game_player_id, i.game_id, i.game, i.round, b.team_id, trim(b.dorsal) as dorsal, trim(b.player) as player, trim(b.minutes) as minutes, b.is_starter, b.points, b.valuation, b.plus_minus
+from b join sides0 s on b.g = s.g and b.team_id = s.team_id join ids i on i.g = b.g where coalesce(b.dorsal, '') <> 'TOTAL'
+union all select i.game_id || '_' || b.team_id, i.game_id, i.game, i.round, b.team_id, 'TOTAL', trim(b.player), trim(b.minutes), 0, b.points, b.valuation, null
+from b join sides0 s on b.game_player_id = s.total_id and b.team_id = s.team_id and b.g = s.g and b.dorsal = 'TOTAL' join ids i on i.g = b.g""",
+    "live_header_rows": f"""select split_part(g, '_', 1) || '_' || lpad(split_part(g, '_', 2), cast(greatest(3, length(split_part(g, '_', 2))) as int), '0') as game_id, team_id_a || '-' || team_id_b as game, date, substr(time, 1, 5) || ':00' as time, round,
+  score_a, score_b, trim(team_a) as team_a, capacity, nullif(trim(referee_3), '') as referee_3, score_quarter_4_b, nullif(score_extra_time_1_a, 0) as score_extra_time_1_a
+from (select distinct *, {_GAME.format(c="game_id")} as g from euroleague_game_header) where score_a + score_b > 0""",
+    "schedule_answer": f"with {_SCHEDULE} select gamecode, cast(gameday as varchar) as gameday, homecode, awaycode from schedule where season_code = (select max(season_code) from schedule)",
+    "price_pages": "select round, player_id, name, fg_missed from fantasy_players",
+    "lineage_paths": f"with recursive e(src, dst) as (select * from (values {_EDGES})), r(src, dst) as (select src, dst from e union select r.src, e.dst from r join e on r.dst = e.src) select src, dst from r",
+    "selection_sheet": f"""with {_CHOSEN} select player, position, role, action, is_captain,
+  (case role when 'starter' then 0.0 when 'sixth' then 1.0 when 'bench' then 2.0 else 3.0 end - case when action = 'sell' then 0.5 else 0.0 end)::double as group_place from chosen""",
+    "lineup_sum": f"""with {_CHOSEN} select 'fixed' as scenario, round(sum(pir_mean * (case when role in ('starter', 'sixth') then 1.0 when role = 'bench' then 0.5 else 0.0 end + is_captain)), 6) as points,
+  round(sum(case when place <= need then crd_last else 0 end), 6) as price, count(*) filter (where action = 'sell') as sold from chosen""",
+    "best_lineup": f"""with {_JOINED},
+own as (select * from (select *, row_number() over (partition by season_code, team_id, position order by score desc, player_normalized) as place from (
+    select season_code, team_id, player_normalized, position, avg(valuation) as score from joined group by 1, 2, 3, 4) where score is not null) where place <= case position when 'C' then 2 else 4 end),
+ten as (select *, row_number() over (partition by season_code, team_id order by player_normalized, position) - 1 as bit, count(*) over (partition by season_code, team_id) as n from own),
+masks as (select unnest(range(1024)) as mask),
+lines as (select season_code, team_id, mask, sum(score * case when (mask >> bit) & 1 = 1 then 1.0 else 0.5 end) + max(case when (mask >> bit) & 1 = 1 then score end) as points,
+    arg_max(player_normalized, score) filter (where (mask >> bit) & 1 = 1) as captain,
+    count(*) filter (where (mask >> bit) & 1 = 1 and position = 'G') as g, count(*) filter (where (mask >> bit) & 1 = 1 and position = 'F') as f, count(*) filter (where (mask >> bit) & 1 = 1 and position = 'C') as c
+  from ten, masks where n = 10 and bit_count(mask) = 6 group by 1, 2, 3)
+select season_code, team_id, round(max(points), 4) as points, arg_max(captain, points) as captain from lines where (g, f, c) in {_SPLITS} group by 1, 2""",
+    "squad_optimum_small": f"""with {_RANKED},
+few as (select *, pir_mean - 0.1 * pir_std + 0.2 * greatest(0, pir_p90 - pir_mean) - 0.1 * greatest(0, pir_mean - pir_p10) as score, 3 * (pir_mean - 1.1 * crd_last) / 25 as growth,
+    row_number() over (order by player) - 1 as bit from ranked where place <= case position when 'G' then 6 when 'F' then 5 else 3 end),
+masks as (select unnest(range(16384)) as mask),
+squads as (select mask, sum(growth) as growth, sum(crd_last) as price from few, masks where bit_count(mask) = 10 and (mask >> bit) & 1 = 1 group by mask
+  having count(*) filter (where position = 'G') = 4 and count(*) filter (where position = 'F') = 4 and count(*) filter (where position = 'C') = 2 and sum(crd_last) <= {SMALL.cash} + 1e-6),
+capped as (select mask from (select s.mask, f.team, count(*) as n from squads s join few f on (s.mask >> f.bit) & 1 = 1 group by 1, 2) group by mask having max(n) <= 6),
+lines as (select s.mask, m.mask as active, s.growth from squads s join capped using (mask) join masks m on m.mask & s.mask = m.mask and bit_count(m.mask) = 6),
+valued as (select l.mask, l.active, any_value(l.growth) as growth, sum(f.score * case when (l.active >> f.bit) & 1 = 1 then 1.0 else 0.5 end) + max(case when (l.active >> f.bit) & 1 = 1 then f.score end) as points,
+    count(*) filter (where (l.active >> f.bit) & 1 = 1 and position = 'G') as g, count(*) filter (where (l.active >> f.bit) & 1 = 1 and position = 'F') as f_, count(*) filter (where (l.active >> f.bit) & 1 = 1 and position = 'C') as c
+  from lines l join few f on (l.mask >> f.bit) & 1 = 1 group by 1, 2)
+select round(max(points + growth), 4) as objective from valued where (g, f_, c) in {_SPLITS}""",
     "prepare_boxscore": f"with {_PREPARED} select game_player_id, year, team_id, opponent, homeaway, minutes, cast(minutes_num as double) as minutes_num from prepared",
     "join_stats_season": f"with {_JOINED} select game_player_id, player_normalized, position, quotation from joined",
     "join_stats_per_round": f"""with {_JOINED} select k.game_player_id, k.player_normalized, k.round, p.position, p.quotation from keyed k join prices p on k.season_code = p.season_code and k.team_id = p.team_id
@@ -483,14 +739,14 @@ left join pt home_collected on homecode = home_collected.team left join pt away_
     "optimizer_input": f"with {_RECORD} select player, team, position, turn, {_rounded(['crd_last', 'exp_pir'])}, 0 as in_prev_roster from record",
     "teams_distinct": "select distinct trim(team) as team, upper(trim(code)) as code, trim(tv) as tv from clubs",
     "merge_deltas": f"""with {_BOX}, b as (select season_code, game_player_id, valuation, cast(regexp_extract(season_code, '([0-9]+)', 1) as int) as y from box)
-select season_code, game_player_id, valuation from b where y >= 2024 or season_code not in (select season_code from b where y >= 2024)""",
+select season_code, game_player_id, valuation from b where y >= 2025 or season_code not in (select season_code from b where y >= 2025)""",
     "merge_covered_seasons": f"""with {_BOX}, b as (select season_code, cast(regexp_extract(season_code, '([0-9]+)', 1) as int) as y from box)
-select season_code, count(*) as n from b where y <= 2024 and season_code not in (select season_code from b where y >= 2024) group by 1""",
+select season_code, count(*) as n from b where y <= 2025 and season_code not in (select season_code from b where y >= 2025) group by 1""",
     "merge_base_season": f"""with {_BOX}, b as (select season_code, game_player_id, valuation, cast(regexp_extract(season_code, '([0-9]+)', 1) as int) as y from box), m as (select max(season_code) as s from b where y <= 2024)
 select season_code, game_player_id, valuation from b, m where (y <= 2024 and season_code = s) or (y >= 2024 and season_code > s)""",
     "dedupe_lowest_rank": f"with {_PRICES} select season_code, round, player_id, rank from listed",
     "duplicate_keys": "select game_player_id, count(*) as n from euroleague_box_score group by 1 having count(*) > 1",
-    "blank_rows": "select count(*) as n from documents where coalesce(trim(text, ' '), '') = '' and coalesce(trim(lang), '') = '' and coalesce(trim(club_code), '') = ''",
+    "blank_rows": "select doc_id from documents where coalesce(trim(text, ' '), '') = ''",
     "normalize_names": f"select distinct player, {_norm('player')} as normalized from euroleague_box_score",
     "match_keys": f"select distinct player, {_key('player')} as key from euroleague_box_score",
     "reorder_abbreviate": f"select distinct player, {_reorder('player')} as reordered, {_short(_reorder('player'))} as abbreviated from euroleague_box_score",

@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHEET_ROWS = 1_048_576
+#: CSV with a header and every value as it is, outer blanks included.
+AS_WRITTEN = {"header": True, "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def write_ordered(df: DataFrame, path: str, order: list[str], columns: list[str] | None = None) -> None:
     """One CSV file in a fixed order, equal on every run. For deliveries of one season; large tables are written as they are partitioned."""
-    df.orderBy(*order).select(*(columns or [c for c in df.columns if not c.startswith("_")])).coalesce(1).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    df.orderBy(*order).select(*(columns or [c for c in df.columns if not c.startswith("_")])).coalesce(1).write.mode("overwrite").options(**AS_WRITTEN).csv(path)
 
 
 def write_map(entries: DataFrame, path: str) -> None:
@@ -29,7 +31,7 @@ def write_schedule(rows: DataFrame, folder: str, season: str) -> Path:
     at = Path(folder)
     at.mkdir(parents=True, exist_ok=True)
     staged = at / f".schedule_{season}"
-    rows.orderBy("gamecode").coalesce(1).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(f"file://{staged}")
+    rows.orderBy("gamecode").coalesce(1).write.mode("overwrite").options(**AS_WRITTEN).csv(f"file://{staged}")
     out = at / f"schedule_{season}.csv"
     os.replace(next(staged.glob("part-*.csv")), out)
     shutil.rmtree(staged)
