@@ -5,26 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BLANKS = r"[\s\u00a0\u200b\ufeff]+"
+#: Blanks that untidy identifiers contain.
+BLANKS = " \t\n\x0b\f\r\u00a0\u200b\ufeff"
 #: season, game number and, for messages, the player or club, with anything that is no letter or digit between them
 GAME = r"^([A-Z]+[0-9]+)[^A-Z0-9]+0*([0-9]+)$"
 MESSAGE = r"^([A-Z]+[0-9]+)[^A-Z0-9]+0*([0-9]+)[^A-Z0-9]+(.+)$"
 
 
 def _bare(c: Column) -> Column:
-    return F.upper(F.regexp_replace(c, BLANKS, ""))
+    return F.upper(F.translate(c, BLANKS, ""))
 
 
 def game_key(c: Column) -> Column:
     """``E2020-018``, ``e2020_0018`` and `` E2020_18 `` are one game; text of another form stands for itself, null stays null."""
-    b = _bare(c)
-    return F.when(b.rlike(GAME), F.regexp_replace(b, GAME, "$1_$2")).otherwise(b)
+    return F.regexp_replace(_bare(c), GAME, "$1_$2")
 
 
 def message_key(c: Column) -> Column:
     """The message an identifier names: season, game number and player or club, however written."""
-    b = _bare(c)
-    return F.when(b.rlike(MESSAGE), F.regexp_replace(b, MESSAGE, "$1_$2_$3")).otherwise(b)
+    return F.regexp_replace(_bare(c), MESSAGE, "$1_$2_$3")
 
 
 def key_part(key: Column, n: int) -> Column:

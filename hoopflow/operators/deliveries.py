@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hoopflow.functions.ids import key_part, message_key
+from hoopflow.functions.ids import BLANKS, key_part, message_key
 
 
 def never() -> Column:
@@ -20,8 +20,8 @@ def arrival(loaded_at: str = "loaded_at", delivery_id: str = "delivery_id") -> C
 
 def is_total(code: Column, dorsal: Column, game: Column) -> Column:
     """Club rows: marked TOTAL, or, where the mark is missing, carrying one of the game's two club codes instead of a player."""
-    clubs = F.split(F.upper(F.regexp_replace(game, r"\s", "")), "-")
-    return F.coalesce((F.upper(F.trim(dorsal)) == "TOTAL") | F.array_contains(clubs, code), F.lit(False))
+    clubs = F.concat(F.lit("-"), F.upper(F.translate(game, BLANKS, "")), F.lit("-"))
+    return F.coalesce((F.upper(F.trim(dorsal)) == "TOTAL") | F.contains(clubs, F.concat(F.lit("-"), code, F.lit("-"))), F.lit(False))
 
 
 def first_deliveries(box: DataFrame, *keep: str) -> DataFrame:

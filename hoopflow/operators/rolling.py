@@ -9,11 +9,13 @@ corrections can change.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hoopflow.functions.ids import game_key, key_part, message_key
-from hoopflow.operators.deliveries import arrival, is_total, never, player_messages
+from hoopflow.functions.ids import key_part, message_key
+from hoopflow.operators.deliveries import is_total, never, player_messages
 from hoopflow.operators.references import game_days
 from hoopflow.streaming.commits import CommitLog
 
@@ -217,31 +219,50 @@ class RollingStore:
         self.log.commit(version, {"layers": [own]})
 
 
+def packed(code: Column) -> Column:
+    """A row's figures in one number: whether it is a club's row, valuation and seconds, each with whether it is there."""
+    val, secs = F.col("valuation").cast("long"), seconds(F.col("minutes")).cast("long")
+    parts = [
+        F.shiftleft(is_total(code, F.col("dorsal"), F.col("game")).cast("long"), 60), F.shiftleft(val.isNotNull().cast("long"), 59), F.shiftleft(F.coalesce(val + (1 << 31), F.lit(0)).cast("long"), 26),
+        F.shiftleft(secs.isNotNull().cast("long"), 25), F.coalesce(secs, F.lit(0)).cast("long"),
+    ]
+    return reduce(lambda a, b: a.bitwiseOR(b), parts)
+
+
+def unpacked(x: Column) -> tuple[Column, Column, Column]:
+    """total, valuation, seconds of a packed row."""
+    bit = lambda n: F.shiftright(x, n).bitwiseAND(F.lit(1)) == 1
+    val = F.shiftright(x, 26).bitwiseAND(F.lit((1 << 32) - 1)) - (1 << 31)
+    return bit(60), F.when(bit(59), val), F.when(bit(25), x.bitwiseAND(F.lit((1 << 25) - 1)))
+
+
 def versioned_amounts(box: DataFrame, header: DataFrame, edges: list) -> DataFrame:
     """version, player_id, day, PARTS: what each stretch of loading time adds to, or corrects in, the daily amounts.
 
     ``edges`` are loading times; version k knows the deliveries loaded up to the k-th. A message counts with its first delivery; one
     that a later version replaces is taken back there. One aggregate per message gives all versions.
     """
-    values = F.struct("game_id", "valuation", "minutes", "dorsal", "game")
     at = F.coalesce(F.col("loaded_at").cast("timestamp_ntz"), never())
     known = [F.lit(True) if e is None else at <= F.lit(e).cast("timestamp_ntz") for e in [*edges, None]]
-    first = box.where(F.col("game_player_id").isNotNull()).groupBy(message_key(F.col("game_player_id")).alias("message"))
-    if edges:
-        rows = first.agg(*[F.min(F.when(k, F.struct(arrival().alias("a"), values.alias("x")))).alias(f"v{i}") for i, k in enumerate(known)])
-    else:
-        rows = first.agg(F.min(F.struct(arrival().alias("a"), values.alias("x"))).alias("v0"))
+    # Order and values are numbers of fixed size, so the aggregate is hashed, not sorted: loading time and delivery number; and the
+    # row's figures, packed.
+    order = F.unix_micros(at.cast("timestamp")).cast("decimal(19,0)") * F.expr("10000000000000000000BD") + F.coalesce(F.col("delivery_id").cast("long"), F.lit((1 << 63) - 1)).cast("decimal(19,0)")
+    message = message_key(F.col("game_player_id"))
+    one = box.where(F.col("game_player_id").isNotNull()).select(message.alias("message"), order.cast("decimal(38,0)").alias("o"), packed(key_part(message, 3)).alias("x"), *[k.alias(f"k{i}") for i, k in enumerate(known)])
+    seen = [F.when(F.col(f"k{i}"), F.col("o")) for i in range(len(known))]
+    rows = one.groupBy("message").agg(*[c for i, o in enumerate(seen) for c in (F.min(o).alias(f"o{i}"), F.min_by("x", o).alias(f"v{i}"))])
 
     def entry(i: int, j: int, sign: int) -> Column:
-        return F.struct(F.lit(i).alias("version"), F.lit(sign).alias("sign"), F.col(f"v{j}")["x"].alias("x"))
-
-    steps = [F.when(F.col("v0").isNotNull(), entry(0, 0, 1))]
-    for i in range(1, len(edges) + 1):
-        moved = ~F.col(f"v{i}")["a"].eqNullSafe(F.col(f"v{i - 1}")["a"])
-        steps += [F.when(moved & F.col(f"v{i - 1}").isNotNull(), entry(i, i - 1, -1)), F.when(moved, entry(i, i, 1))]
-    rows = rows.select(key_part(F.col("message"), 3).alias("player_id"), F.explode(F.filter(F.array(*steps), lambda s: s.isNotNull())).alias("s")).select("player_id", "s.version", "s.sign", "s.x.*")
-    rows = rows.where(F.col("player_id").isNotNull() & ~is_total(F.col("player_id"), F.col("dorsal"), F.col("game")))
-    rows = rows.select("version", "sign", "player_id", game_key(F.col("game_id")).alias("game_key"), F.col("valuation").cast("long").alias("val"), seconds(F.col("minutes")).cast("long").alias("secs"))
+        return F.struct(F.lit(i).alias("version"), F.lit(sign).alias("sign"), F.col(f"v{j}").alias("x"))
+
+    steps = [F.when(F.col("o0").isNotNull(), entry(0, 0, 1))]
+    for i in range(1, len(known)):
+        moved = ~F.col(f"o{i}").eqNullSafe(F.col(f"o{i - 1}"))
+        steps += [F.when(moved & F.col(f"o{i - 1}").isNotNull(), entry(i, i - 1, -1)), F.when(moved, entry(i, i, 1))]
+    rows = rows.select("message", F.explode(F.filter(F.array(*steps), lambda s: s.isNotNull())).alias("s")).select("message", "s.version", "s.sign", "s.x")
+    total, val, secs = unpacked(F.col("x"))
+    rows = rows.select("version", "sign", key_part(F.col("message"), 3).alias("player_id"), F.concat_ws("_", key_part(F.col("message"), 1), key_part(F.col("message"), 2)).alias("game_key"), total.alias("total"), val.alias("val"), secs.alias("secs"))
+    rows = rows.where(F.col("player_id").isNotNull() & ~F.col("total"))
     rows = rows.join(game_days(header), "game_key").where(F.col("day").isNotNull())
     signed = [a for k in MEASURES for a in (F.coalesce(F.sum(F.col(k) * F.col("sign")), F.lit(0)).cast("long").alias(f"{k}_sum"), F.coalesce(F.sum(F.when(F.col(k).isNotNull(), F.col("sign"))), F.lit(0)).cast("long").alias(f"{k}_n"))]
     return rows.groupBy("player_id", "version", "day").agg(*signed, F.sum("sign").cast("long").alias("games"))
