@@ -9,6 +9,7 @@ corrections can change.
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,10 +26,9 @@ MEASURES = ("val", "secs")
 def seconds(minutes: Column) -> Column:
     """``MM:SS`` or ``M:SS`` as seconds, ``DNP`` as 0; blank, null and anything else as null."""
     m = F.trim(minutes)
-    played = m.rlike(r"^\d{1,3}:\d{1,2}$")
-    return F.when(F.upper(m) == "DNP", F.lit(0)).when(
-        played, F.get(F.split(m, ":"), F.lit(0)).try_cast("int") * 60 + F.get(F.split(m, ":"), F.lit(1)).try_cast("int")
-    )
+    at = F.instr(m, ":")
+    clock = F.substring(m, F.lit(1), at - 1).try_cast("int") * 60 + F.substring(m, at + 1, F.lit(2)).try_cast("int")
+    return F.when(m.rlike(r"^\d{1,3}:\d{1,2}$"), clock).when(F.upper(m) == "DNP", F.lit(0))
 
 
 def daily(rows: DataFrame, step: str = "day", *by: str) -> DataFrame:
@@ -275,9 +275,15 @@ def loading_edges(box: DataFrame, shares: tuple[float, ...]) -> list:
     return [r[0] for r in box.sparkSession.range(1).select(F.explode(F.array(*[F.timestamp_micros(F.lit(e)).cast("timestamp_ntz") for e in found]))).collect()] if found else []
 
 
-def build_versions(box: DataFrame, header: DataFrame, base: str, shares: tuple[float, ...], windows: tuple[int, ...] = (7, 30)) -> RollingStore:
-    """A store with a version for each of the shares of the deliveries, in the order they were loaded, and one for all of them."""
-    spark, edges = box.sparkSession, loading_edges(box, shares)
+def last_days(box: DataFrame, days: int) -> list:
+    """The loading time that many days before the last one."""
+    last = box.agg(F.max("loaded_at").alias("t")).first()["t"]
+    return [last - timedelta(days=days)] if last else []
+
+
+def build_versions(box: DataFrame, header: DataFrame, base: str, edges: list, windows: tuple[int, ...] = (7, 30)) -> RollingStore:
+    """A store with a version for the deliveries loaded up to each of the edges, and one for all of them."""
+    spark = box.sparkSession
     store = RollingStore(spark, base, windows)
     parts = versioned_amounts(box, header, edges)
     if edges:
@@ -289,6 +295,7 @@ def build_versions(box: DataFrame, header: DataFrame, base: str, shares: tuple[f
     return store
 
 
-def trailing_days(box: DataFrame, header: DataFrame, base: str, shares: tuple[float, ...] = (0.95,), windows: tuple[int, ...] = (7, 30)) -> DataFrame:
-    """The report of the newest version, built from the deliveries in the order they were loaded."""
-    return report(expand(build_versions(box, header, base, shares, windows).state(), windows), windows)
+def trailing_days(box: DataFrame, header: DataFrame, base: str, shares: tuple[float, ...] | None = None, windows: tuple[int, ...] = (7, 30)) -> DataFrame:
+    """The report of the newest version. Without ``shares`` the version before it holds all but the arrivals of the last 30 days."""
+    edges = last_days(box, 30) if shares is None else loading_edges(box, shares)
+    return report(expand(build_versions(box, header, base, edges, windows).state(), windows), windows)
