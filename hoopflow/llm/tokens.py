@@ -1,8 +1,7 @@
 """Encoding of a corpus with a public byte-level BPE through a table of distinct words.
 
 Spark splits the texts into the tokenizer's own words once and writes them, with a number per row, to the shared folder; each distinct
-word is encoded once, and ids are joined back by position. A token moves as one packed number (place of the word, place in the
-word, id). Frequent words (each at least 1/HEAD of all occurrences, so at most HEAD of them) are joined by broadcast; frequent words
+word is encoded once, and ids are joined back by position. A word moves as one short string: its place, then a character per token. Frequent words (each at least 1/HEAD of all occurrences, so at most HEAD of them) are joined by broadcast; frequent words
 too long for that are spread over SPREAD copies of their row, so no word is hot in the shuffled join that does the rest.
 """
 
@@ -20,8 +19,8 @@ from hoopflow.session import cut, work_dir
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 HEAD, HEAD_CHARS, SPREAD = 1 << 16, 64, 32
-#: Bits of a packed token: the id, and the token's place within its word.
-ID_BITS, SUB_BITS = 18, 18
+#: A token's id is written as the character FIRST + id, below the surrogates; a word's place as PLACES digits to the base 36.
+FIRST, LAST, PLACES = 0x100, 0xD7FF, 6
 #: The tokenizer's split into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -42,17 +41,20 @@ def split_words(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFra
 
 
 def encode_words(words: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Adds ids to distinct words. The vocabulary file is read on the driver and broadcast (under 1 MB, fixed)."""
+    """Adds the code of their ids to distinct words. The vocabulary file is read on the driver and broadcast (under 1 MB, fixed)."""
     raw = words.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import tiktoken
 
-        coder = tiktoken.Encoding("public", pat_str=WORDS, mergeable_ranks=read_ranks(raw.value), special_tokens={})
+        ranks = read_ranks(raw.value)
+        if max(ranks.values()) > LAST - FIRST:
+            raise ValueError(f"ids above {LAST - FIRST} can't be written as characters")
+        coder = tiktoken.Encoding("public", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
         for b in batches:
-            yield b.assign(ids=[coder.encode_ordinary(w) for w in b["word"]])
+            yield b.assign(code=["".join(chr(FIRST + i) for i in coder.encode_ordinary(w)) for w in b["word"]])
 
-    return words.mapInPandas(run, "word string, n long, ids array<int>")
+    return words.mapInPandas(run, "word string, n long, code string")
 
 
 class Encoded:
@@ -82,11 +84,10 @@ class Encoded:
         return frequent.unionByName(rare.join(tail, on).select("_r", "pos", name))
 
 
-def packed(ids: Column) -> Column:
-    """The ids of a word as numbers that sort by its place, then by the token's; a part that doesn't fit is an error, not another number."""
-    whole = F.transform(ids, lambda x, i: F.shiftleft(F.col("pos").cast("long"), ID_BITS + SUB_BITS).bitwiseOR(F.shiftleft(i.cast("long"), ID_BITS)).bitwiseOR(x.cast("long")))
-    fits = (F.col("pos") < 1 << (62 - ID_BITS - SUB_BITS)) & (F.size(ids) < 1 << SUB_BITS)
-    return F.when(fits, whole).otherwise(F.raise_error(F.lit("a text has too many words, or a word too many tokens, for a packed number")))
+def placed(code: Column) -> Column:
+    """A word's code behind its place, so that strings sort by place; a place that doesn't fit is an error, not another place."""
+    fits = F.col("pos") < 36**PLACES if 36**PLACES < 1 << 31 else F.lit(True)
+    return F.when(fits, F.concat(F.lpad(F.conv(F.col("pos").cast("string"), 10, 36), PLACES, "0"), code)).otherwise(F.raise_error(F.lit("a text has too many words")))
 
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -96,16 +97,16 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     rows and null doc_ids included. The tokens of one text meet in one row, which is what the result asks for.
     """
     e = Encoded(docs, vocabulary)
-    at = e.join(F.col("ids"), "ids").select("_r", F.explode(packed(F.col("ids"))).alias("t"))
-    ids = F.transform(F.sort_array("t"), lambda x: x.bitwiseAND(F.lit((1 << ID_BITS) - 1)).cast("int"))
-    both = at.groupBy("_r").agg(F.collect_list("t").alias("t")).select("_r", ids.alias("ids"))
+    at = e.join(F.col("code"), "code").select("_r", placed(F.col("code")).alias("t"))
+    text = F.array_join(F.transform(F.sort_array("t"), lambda x: F.substring(x, PLACES + 1, 1 << 30)), "")
+    both = at.groupBy("_r").agg(F.collect_list("t").alias("t")).select("_r", F.transform(F.split(text, ""), lambda c: F.ascii(c) - FIRST).alias("ids"))
     return e.rows.select("_r", "doc_id").join(both, "_r", "left").select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
 
 
 def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep..., n_tokens of each row; 0 for null and empty texts."""
     e = Encoded(docs, vocabulary, keep)
-    at = e.join(F.size("ids").cast("long"), "k").groupBy("_r").agg(F.sum("k").alias("n_tokens"))
+    at = e.join(F.length("code").cast("long"), "k").groupBy("_r").agg(F.sum("k").alias("n_tokens"))
     return e.rows.select("_r", *keep).join(at, "_r", "left").select(*keep, F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"))
 
 
