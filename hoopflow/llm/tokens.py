@@ -1,8 +1,10 @@
 """Encoding of a corpus with a public byte-level BPE through a table of distinct words.
 
 Spark splits the texts into the tokenizer's own words once and writes them, with a number per row, to the shared folder; each distinct
-word is encoded once, and ids are joined back by position. A word moves as one short string: its place, then a character per token. Frequent words (each at least 1/HEAD of all occurrences, so at most HEAD of them) are joined by broadcast; frequent words
-too long for that are spread over SPREAD copies of their row, so no word is hot in the shuffled join that does the rest.
+word is encoded once. Frequent words (each at least 1/HEAD of all occurrences, so at most HEAD of them) are looked up where the text
+lies, in Arrow batches: the row keeps a string with a character per token and a mark for every other word. Only those other words move: they
+meet the table in a shuffled join and come back by position. Frequent words too long for the broadcast are spread over SPREAD
+copies of their row, so no word is hot in that join.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from hoopflow.session import cut, work_dir
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 HEAD, HEAD_CHARS, SPREAD = 1 << 16, 64, 32
-#: A token's id is written as the character FIRST + id, below the surrogates; a word's place as PLACES digits to the base 36.
-FIRST, LAST, PLACES = 0x100, 0xD7FF, 6
+#: A token's id is written as the character FIRST + id, below the surrogates; GAP marks a word that is filled in later; a place has PLACES digits to the base 36.
+FIRST, LAST, GAP, PLACES = 0x100, 0xD7FF, "\x01", 6
 #: The tokenizer's split into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -58,22 +60,40 @@ def encode_words(words: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 
 class Encoded:
-    """The words of a corpus and their table, ready to be joined."""
+    """The words of a corpus and their table, and ``rows``: _r, keep..., code (of the frequent words, with gaps), rare (the words of the gaps)."""
 
     def __init__(self, docs: DataFrame, vocabulary: str = VOCABULARY, keep: tuple[str, ...] = ("doc_id",)) -> None:
-        self.keep, self.rows = keep, split_words(docs, keep)
-        distinct = self.rows.select(F.explode("w").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        words = split_words(docs, keep)
+        distinct = words.select(F.explode("w").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         self.table = cut(encode_words(distinct, vocabulary))
         total = self.table.agg(F.sum("n")).first()[0] or 0
         often, short = F.col("n") * HEAD >= F.lit(total), F.length("word") <= HEAD_CHARS
         self.head, self.tail, self.heavy = self.table.where(often & short), self.table.where(~(often & short)), self.table.where(often & ~short)
-
-    def join(self, value: Column, name: str) -> DataFrame:
-        """_r, pos and the value of each word."""
-        w = self.rows.select("_r", F.posexplode("w").alias("pos", "word"))
-        head = F.broadcast(self.head.select("word", value.alias(name)))
-        frequent = w.join(head, "word").select("_r", "pos", name)
-        rare, tail, on = w.join(F.broadcast(self.head.select("word")), "word", "left_anti"), self.tail.select("word", value.alias(name)), ["word"]
+        self.rows = self._looked_up(words, keep)
+
+    def _looked_up(self, words: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+        spark = words.sparkSession
+        # At most HEAD words of HEAD_CHARS letters: a few MB, whatever the corpus.
+        known = spark.sparkContext.broadcast({r["word"]: r["code"] for r in self.head.select("word", "code").collect()})
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            find = known.value.get
+            for b in batches:
+                code, rare = [], []
+                for w in b.pop("w"):
+                    found = [(x, find(x, GAP)) for x in w] if w is not None else []
+                    code.append("".join(c for _, c in found))
+                    rare.append([x for x, c in found if c == GAP])
+                yield b.assign(code=code, rare=rare)
+
+        shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.drop("w").schema) + ", code string, rare array<string>"
+        at = work_dir(spark, "codes")
+        words.mapInPandas(run, shape).write.parquet(at)
+        return spark.read.parquet(at)
+
+    def gaps(self) -> DataFrame:
+        """_r, pos, code of each word in a gap."""
+        rare, tail, on = self.rows.select("_r", F.posexplode("rare").alias("pos", "word")), self.tail.select("word", "code"), ["word"]
         if not self.heavy.isEmpty():
             # Marked by a hash of bounded size on both sides, so words that only share it are spread alike.
             mark = F.broadcast(self.heavy.select(F.xxhash64("word").alias("_h")).distinct())
@@ -81,33 +101,29 @@ class Encoded:
             copies = F.when(F.col("_h").isNotNull(), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
             tail = tail.join(mark, F.xxhash64("word") == F.col("_h"), "left").withColumn("_s", F.explode(copies)).drop("_h")
             on = ["word", "_s"]
-        return frequent.unionByName(rare.join(tail, on).select("_r", "pos", name))
-
-
-def placed(code: Column) -> Column:
-    """A word's code behind its place, so that strings sort by place; a place that doesn't fit is an error, not another place."""
-    fits = F.col("pos") < 36**PLACES if 36**PLACES < 1 << 31 else F.lit(True)
-    return F.when(fits, F.concat(F.lpad(F.conv(F.col("pos").cast("string"), 10, 36), PLACES, "0"), code)).otherwise(F.raise_error(F.lit("a text has too many words")))
+        return rare.join(tail, on).select("_r", "pos", "code")
 
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, ids. Null, empty and only null texts have an empty list; blank texts have the ids of their blanks.
 
     Special tokens are never produced: their strings in a text are ordinary text. Every input row has one output row, repeated
-    rows and null doc_ids included. The tokens of one text meet in one row, which is what the result asks for.
+    rows and null doc_ids included. The rare words of one text meet in one row, which is what the result asks for.
     """
     e = Encoded(docs, vocabulary)
-    at = e.join(F.col("code"), "code").select("_r", placed(F.col("code")).alias("t"))
-    text = F.array_join(F.transform(F.sort_array("t"), lambda x: F.substring(x, PLACES + 1, 1 << 30)), "")
-    both = at.groupBy("_r").agg(F.collect_list("t").alias("t")).select("_r", F.transform(F.split(text, ""), lambda c: F.ascii(c) - FIRST).alias("ids"))
-    return e.rows.select("_r", "doc_id").join(both, "_r", "left").select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    placed = F.concat(F.lpad(F.conv(F.col("pos").cast("string"), 10, 36), PLACES, "0"), F.col("code"))
+    filled = e.gaps().groupBy("_r").agg(F.sort_array(F.collect_list(placed)).alias("t"))
+    parts = F.zip_with(F.split("code", GAP), F.coalesce("t", F.array().cast("array<string>")), lambda x, t: F.concat(x, F.coalesce(F.substring(t, PLACES + 1, 1 << 30), F.lit(""))))
+    both = e.rows.select("_r", "doc_id", "code").join(filled, "_r", "left").select("doc_id", F.array_join(parts, "").alias("text"))
+    ids = F.transform(F.split("text", ""), lambda c: F.ascii(c) - FIRST)
+    return both.select("doc_id", F.when(F.col("text") != "", ids).otherwise(F.array().cast("array<int>")).alias("ids"))
 
 
 def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep..., n_tokens of each row; 0 for null and empty texts."""
     e = Encoded(docs, vocabulary, keep)
-    at = e.join(F.length("code").cast("long"), "k").groupBy("_r").agg(F.sum("k").alias("n_tokens"))
-    return e.rows.select("_r", *keep).join(at, "_r", "left").select(*keep, F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"))
+    more = e.gaps().groupBy("_r").agg(F.sum(F.length("code") - 1).alias("more"))
+    return e.rows.select("_r", *keep, "code").join(more, "_r", "left").select(*keep, (F.length("code") + F.coalesce("more", F.lit(0))).cast("long").alias("n_tokens"))
 
 
 def decode(encoded: DataFrame, spark: SparkSession, vocabulary: str = VOCABULARY) -> DataFrame:
