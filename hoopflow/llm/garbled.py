@@ -173,7 +173,7 @@ class Model:
     def __init__(self, counts: np.ndarray) -> None:
         self.counts, self.words = counts[:BUCKETS], counts
         self.total = max(1.0, float(self.counts.sum()) / 3)
-        self.kept: dict[str, tuple[np.ndarray, float]] = {}
+        self.kept: dict[str, tuple[np.ndarray, float, np.ndarray]] = {}
         self.pairs: dict[tuple[str, str], float] = {}
 
     def pair(self, x: str, y: str) -> float:
@@ -198,15 +198,16 @@ class Model:
         known = sum(1 for w in own if len(w) > 1 and self.words[word_bucket(w)] >= 2)
         return not own or 2 * known >= len(own)
 
-    def emissions(self, piece: str) -> tuple[np.ndarray, float]:
-        """The scores of a run and the most that any path within it can gain over the clean one (kept for runs that recur)."""
+    def emissions(self, piece: str) -> tuple[np.ndarray, float, np.ndarray]:
+        """The scores of a run, the most that any path within it can gain over the clean one, and what each state alone can (kept for
+        runs that recur)."""
         found = self.kept.get(piece)
         if found is None:
             e = self._emissions(piece)
             more = np.maximum(e[:, 1:] - e[:, :1], 0.0)
             # Either one state explains the run, or the path pays for changing states within it.
             more[:, CITED] = 0.0
-            found = e.astype("float32"), float(max(more.sum(axis=0).max(), more.max(axis=1).sum() + ENTER + LEAVE))
+            found = e.astype("float32"), float(max(more.sum(axis=0).max(), more.max(axis=1).sum() + ENTER + LEAVE)), more.sum(axis=0)
             if len(piece) <= KEPT_CHARS:
                 if len(self.kept) >= KEPT:
                     self.kept.clear()
@@ -359,12 +360,18 @@ def label_texts(ids: list, texts: list[str], model: Model) -> Iterator[tuple]:
         yield from _label(ids[k : k + TEXTS], texts[k : k + TEXTS], model)
 
 
+def _may_gain(scores: list[tuple]) -> bool:
+    """Whether some path may beat the clean one. A path off the clean state pays for entering and leaving: one that stays in one state gains
+    at most what that state does in all runs, one through several states at most the best of each run, and pays twice."""
+    most = sum(x[1] for x in scores) + ENTER + LEAVE
+    return most > 0 and (most + max(ENTER + LEAVE, SWITCH) > 0 or sum(x[2] for x in scores).max() + ENTER + LEAVE > 0)
+
+
 def _label(ids: list, texts: list[str], model: Model) -> Iterator[tuple]:
     todo = []
     for i, t in zip(ids, texts):
         pieces = [p for _, _, p in _pieces(t)]
-        # A path off the clean state pays for entering and leaving; where no path can gain that much the text is clean.
-        if pieces and sum(model.emissions(p)[1] for p in pieces) + ENTER + LEAVE > 0:
+        if pieces and _may_gain([model.emissions(p) for p in pieces]):
             todo.append((i, t, pieces, sum(map(len, pieces)) - 2 * len(pieces)))
         else:
             yield i, False, None, True, ""
