@@ -25,7 +25,7 @@ def plain(rows, columns):
     return sorted(tuple(cell(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", ["p2_found", "p4_trailing_rounds", "p5_found", "player_kpis", "hist_wide", "schedule_grades", "map_variants", "audit_hint", "merge_deltas"])
+@pytest.mark.parametrize("name", ["p2_found", "p4_trailing_rounds", "p5_found", "player_kpis", "hist_wide", "schedule_grades", "map_variants", "audit_hint", "merge_deltas", "p4_versions", "merge_files", "kpis_by_map", "audit_cases", "live_box_rows", "live_header_rows", "best_lineup", "lineage_paths", "json_props"])
 def test_equals_sql(spark, sql, name):
     df = entry.queries()[name](spark, str(DATA))
     told = sql.execute(entry.oracle_sql()[name])
