@@ -458,7 +458,7 @@ def best_lineup(spark: SparkSession, d: str) -> DataFrame:
     return p.groupBy("season_code", "team_id").applyInPandas(solves.lineup_of, "season_code string, team_id string, points double, captain string").where("points is not null")
 
 
-SMALL = replace(CFG, cash=90.0)
+SMALL = replace(CFG, cash=147.0)
 
 
 def squad_optimum_small(spark: SparkSession, d: str) -> DataFrame:
@@ -468,6 +468,17 @@ def squad_optimum_small(spark: SparkSession, d: str) -> DataFrame:
     return solved.agg(F.round(F.max("objective"), 4).alias("objective"))
 
 
+HELD = replace(SMALL, cash=1.5, unlimited_trades=False, max_trades=2)
+
+
+def small_scenarios(spark: SparkSession, d: str) -> DataFrame:
+    """The same candidates in two scenarios, without a current squad and with the best of each position as one, and what each is held against."""
+    few = cut(_ranked(spark, d).where("place <= case position when 'G' then 6 when 'F' then 5 else 3 end"))
+    roster = tuple(r["player"] for r in few.where("place <= case position when 'C' then 2 else 4 end").select("player").collect())
+    solved = solves.solve_all(few.drop("place"), {"free": (SMALL, None), "held": (HELD, roster)})
+    return solved.where("objective is not null").groupBy("scenario", "kind").agg(F.round(F.max("objective"), 4).alias("objective"))
+
+
 def _solved(spark: SparkSession, d: str) -> DataFrame:
     return cut(solves.solve_all(cut(_candidates(spark, d)), {"plain": (CFG, None)}))
 
@@ -490,7 +501,7 @@ _NAMES = [
     merge_covered_seasons, merge_base_season, dedupe_lowest_rank, duplicate_keys, blank_rows, normalize_names, match_keys, reorder_abbreviate, title_case, spelling_pools, recent_season_pool,
     raw_spellings, candidate_status, decisions_overlay, map_variants, lookup_player, lookup_team, audit_stats_only, audit_box_only, audit_hint, objective_components, input_rule_counts,
     candidate_counts, squad_optimum, scenario_summary, squad_sensitivity, merge_files, candidate_fallback, map_file, status_counts, audit_cases, kpis_by_map, drop_counts, next_round_number,
-    json_props, live_box_rows, live_header_rows, schedule_answer, price_pages, lineage_paths, selection_sheet, lineup_sum, best_lineup, squad_optimum_small,
+    json_props, live_box_rows, live_header_rows, schedule_answer, price_pages, lineage_paths, selection_sheet, lineup_sum, best_lineup, squad_optimum_small, small_scenarios,
 ]
 QUERIES = {f.__name__: f for f in _NAMES}
 
@@ -663,7 +674,28 @@ sides0 as (select c.* from clubbed0 c join good using (g) where n > 0 and total_
 heads as (select distinct {_GAME.format(c="game_id")} as g, round, phase from euroleague_game_header),
 ids as (select good.g, good.game, split_part(good.g, '_', 1) || '_' || lpad(split_part(good.g, '_', 2), cast(greatest(3, length(split_part(good.g, '_', 2))) as int), '0') as game_id, h.round from good left join heads h on h.g = good.g)"""
 
+_VARIANTS = ", ".join(
+    f"('{key}', '{kind}', {c.cash}, {1000 if c.trades is None else c.trades}, {c.credit_value}, {int(c.robustness_lambda > 0)}, {int(key == 'held')})"
+    for key, cfg in (("free", SMALL), ("held", HELD)) for kind, c in solves.variants(cfg).items() if (key, kind) != ("free", "no_trade")
+)
+_SMALL = f"""{_RANKED},
+few as (select *, pir_mean - 0.1 * pir_std + 0.2 * greatest(0, pir_p90 - pir_mean) - 0.1 * greatest(0, pir_mean - pir_p10) as score, (pir_mean - 1.1 * crd_last) / 25 as growth,
+    row_number() over (order by player) - 1 as bit, case when place <= need then 1 else 0 end as prev from ranked where place <= case position when 'G' then 6 when 'F' then 5 else 3 end),
+masks as (select unnest(range(16384)) as mask),
+squads as (select mask, sum(growth) as growth, sum(crd_last) as price, sum(1 - prev) as new, (select sum(crd_last * prev) from few) as held from few, masks where bit_count(mask) = 10 and (mask >> bit) & 1 = 1 group by mask
+  having count(*) filter (where position = 'G') = 4 and count(*) filter (where position = 'F') = 4 and count(*) filter (where position = 'C') = 2),
+capped as (select mask from (select s.mask, f.team, count(*) as n from squads s join few f on (s.mask >> f.bit) & 1 = 1 group by 1, 2) group by mask having max(n) <= 6),
+lines as (select s.mask, m.mask as active from squads s join capped using (mask) join masks m on m.mask & s.mask = m.mask and bit_count(m.mask) = 6),
+valued as (select l.mask, l.active, sum(f.score * case when (l.active >> f.bit) & 1 = 1 then 1.0 else 0.5 end) + max(case when (l.active >> f.bit) & 1 = 1 then f.score end) as risky,
+    sum(f.pir_mean * case when (l.active >> f.bit) & 1 = 1 then 1.0 else 0.5 end) + max(case when (l.active >> f.bit) & 1 = 1 then f.pir_mean end) as plain,
+    count(*) filter (where (l.active >> f.bit) & 1 = 1 and position = 'G') as g, count(*) filter (where (l.active >> f.bit) & 1 = 1 and position = 'F') as f_, count(*) filter (where (l.active >> f.bit) & 1 = 1 and position = 'C') as c
+  from lines l join few f on (l.mask >> f.bit) & 1 = 1 group by 1, 2),
+best as (select mask, max(risky) as risky, max(plain) as plain from valued where (g, f_, c) in {_SPLITS} group by 1),
+variants(scenario, kind, cash, trades, credit, risk, holds) as (values {_VARIANTS})"""
+
 SQL = {
+    "small_scenarios": f"""with {_SMALL} select scenario, kind, round(max(case when risk = 1 then risky else plain end + credit * growth), 4) as objective from best join squads using (mask), variants
+where price <= cash + holds * held + 1e-6 and (holds = 0 or new <= trades) group by 1, 2""",
     "merge_files": f"""with {_BOX}, b as (select season_code, game_player_id, valuation, cast(regexp_extract(season_code, '([0-9]+)', 1) as int) as y from box)
 select season_code, game_player_id, valuation from b""",
     "candidate_fallback": f"with {_MATCHED} select team, name, resolved_name, match_status, matched_by, notes from rows1 where match_status <> 'exact'",
