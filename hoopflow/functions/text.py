@@ -77,10 +77,14 @@ def rounds_label(rounds: Column) -> Column:
     return F.when(F.size(rounds) > 1, F.concat(first, F.lit("-"), last)).otherwise(first)
 
 
-def shares_surname(stats_name: Column, box_name: Column) -> Column:
-    """Whether a listed name (``J. Begarin``) and a box-score name have a surname token in common."""
-    surname = F.split(normalize_name(F.get(F.split(stats_name, " ", 2), F.lit(1))), " ")
-    return F.coalesce(F.arrays_overlap(F.filter(surname, lambda x: x != ""), F.split(normalize_name(box_name), " ")), F.lit(False))
+def name_tokens(c: Column) -> Column:
+    """The distinct words of a normalised name."""
+    return F.array_distinct(F.filter(F.split(normalize_name(c), " "), lambda x: x != ""))
+
+
+def surname_tokens(stats_name: Column) -> Column:
+    """The words of a listed name (``J. Begarin``) behind its first blank."""
+    return name_tokens(F.get(F.split(stats_name, " ", 2), F.lit(1)))
 
 
 def minutes_number(c: Column) -> Column:

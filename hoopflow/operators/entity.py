@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hoopflow.functions.text import abbreviate_name, full_name, match_key, normalize_name, reorder_name, rounds_label, shares_surname, title_case
+from hoopflow.functions.text import abbreviate_name, full_name, match_key, name_tokens, normalize_name, reorder_name, rounds_label, surname_tokens, title_case
 
 OPEN = ("needs_review", "no_candidate")
 RESOLVED = ("exact", "confirmed")
@@ -196,11 +196,15 @@ def audit_cases(entries: DataFrame, hinted: DataFrame) -> DataFrame:
 
 
 def hints(boxed: DataFrame, entries: DataFrame) -> DataFrame:
-    """What the audit says of each unresolved box-score player, with same-club listed players of his surname."""
-    free = entries.where("match_status <> 'exact'").select(F.col("stats_team").alias("s_team"), F.col("stats_name").alias("s_name"), F.col("team").alias("s_club"), F.col("match_status").alias("s_status"))
-    near = boxed.join(free, (boxed.club == free.s_club) & shares_surname(F.col("s_name"), F.col("player")), "left")
-    text = F.when(F.col("s_name").isNotNull(), F.concat_ws(" ", "s_team", "s_name", F.concat(F.lit("("), "s_status", F.lit(")"))))
-    g = near.groupBy("team", "club", "player", "games", "rounds").agg(F.array_sort(F.collect_set(text)).alias("likely"))
+    """What the audit says of each unresolved box-score player, with same-club listed players of the same surname.
+
+    Names meet on club and token, and what is listed under a token is one row, so rows of a frequent club or of unknown teams aren't compared in pairs.
+    """
+    text = F.concat_ws(" ", "stats_team", "stats_name", F.concat(F.lit("("), "match_status", F.lit(")")))
+    free = entries.where("match_status <> 'exact'").select(F.col("team").alias("_club"), text.alias("text"), F.explode(surname_tokens(F.col("stats_name"))).alias("_token"))
+    listed = free.groupBy("_club", "_token").agg(F.collect_set("text").alias("texts"))
+    near = boxed.select("*", F.explode_outer(name_tokens(F.col("player"))).alias("token")).join(listed, (F.col("club") == F.col("_club")) & (F.col("token") == F.col("_token")), "left")
+    g = near.groupBy("team", "club", "player", "games", "rounds").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("texts")))).alias("likely"))
     return g.select(
         "team", "club", "player", "games", rounds_label(F.col("rounds")).alias("rounds"), F.array_join("likely", "; ").alias("likely"),
         F.when(F.col("club") == "", "unknown team").when(F.size("likely") == 0, "not listed").otherwise("likely").alias("verdict"), full_name(F.col("player")).alias("decide_as"),

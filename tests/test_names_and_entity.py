@@ -76,6 +76,33 @@ def test_decisions_map_and_lookup(spark, world):
     assert "JONES, CARLIK" not in left and left["LOST, PETE"]["verdict"] == "unknown team"
 
 
+def test_hints_meet_on_club_and_token(spark):
+    boxed = spark.createDataFrame(
+        [
+            ("RED", "Red Club", "DE LA CRUZ, ANA", 2, [1, 2]), ("RED", "Red Club", "CRUZ, ANA", 1, [3]), ("BLU", "Blue Club", "CRUZ, ANA", 1, [3]), ("XXX", "", "Ana CRUZ", 1, [4]), (None, "", "CRUZ CRUZ", 1, [4]),
+            ("RED", "Red Club", "", 1, [None]), ("RED", "Red Club", None, 1, [5]), ("RED", "Red Club", "B, A", 1, [6]),
+        ],
+        "team string, club string, player string, games bigint, rounds array<int>",
+    )
+    entries = spark.createDataFrame(
+        [
+            ("RED", "A. De la Cruz", "Red Club", "rejected"), ("RED", "A. Cruz", "Red Club", "no_match"), ("RED", "A. Cruz", "Red Club", "no_match"), ("RED", "B. Cruz", "Red Club", "exact"), ("RED", "Cruz", "Red Club", "rejected"),
+            ("YYY", "Z. Crúz", "", "needs_review"), (None, "Y. Cruz", "", "no_candidate"), ("ZZZ", "X.  ", "", "rejected"), ("ZZZ", None, "", "rejected"), ("BLU", "W. Cruz", None, "rejected"),
+        ],
+        "stats_team string, stats_name string, team string, match_status string",
+    )
+    both, unknown = "RED A. Cruz (no_match); RED A. De la Cruz (rejected)", "Y. Cruz (no_candidate); YYY Z. Crúz (needs_review)"
+    hints = entity.hints(boxed, entries)
+    assert {(r["team"], r["player"]): (r["likely"], r["verdict"]) for r in hints.collect()} == {
+        ("RED", "DE LA CRUZ, ANA"): (both, "likely"), ("RED", "CRUZ, ANA"): (both, "likely"), ("BLU", "CRUZ, ANA"): ("", "not listed"), ("XXX", "Ana CRUZ"): (unknown, "unknown team"), (None, "CRUZ CRUZ"): (unknown, "unknown team"),
+        ("RED", ""): ("", "not listed"), ("RED", None): ("", "not listed"), ("RED", "B, A"): ("", "not listed"),
+    }
+    assert hints.count() == 8
+    plan = hints._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join" in x]
+    assert len(joins) == 1 and "token" in joins[0] and "overlap" not in plan  # club alone would pair all players of unknown teams
+
+
 @pytest.mark.parametrize(("status", "name", "notes"), [("maybe", None, "x"), ("rejected", None, " "), ("confirmed", "", "x")])
 def test_bad_decisions(spark, status, name, notes):
     t = spark.createDataFrame([("T", "N", status, name, notes)], "stats_team string, stats_name string, match_status string, name string, notes string")
