@@ -22,6 +22,8 @@ from hoopflow.sources import live, sinks, tables
 #: What the indicators, and what the matching of names, read of the box score.
 PREPARED = ("season_code", "game_player_id", "game_id", "player_id", "phase", "round", "game", "team_id", "dorsal", "player", "valuation", "minutes")
 PEOPLE = ("season_code", "game_id", "player_id", "team_id", "dorsal", "player", "minutes", "round")
+#: Of those, what the pools of spellings are made of.
+SPELLED = ("season_code", "player_id", "team_id", "dorsal", "player")
 CFG = Optimization(target="pir_mean", robustness_lambda=0.1, upside_beta=0.2, downside_gamma=0.1, cash=100.0, unlimited_trades=True, credit_value=3.0)
 
 
@@ -278,7 +280,9 @@ def decisions_overlay(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _entries(spark: SparkSession, d: str, b: DataFrame) -> DataFrame:
-    return cut(entity.map_entries(entity.apply_decisions(_rows(spark, d, b), _decided(spark, d)), entity.raw_spellings(b)))
+    """The map of names. The pools are sets, so they are made of what differs between games, not of every game's row."""
+    n = cut(b.select(*SPELLED).distinct())
+    return cut(entity.map_entries(entity.apply_decisions(_rows(spark, d, n), _decided(spark, d)), entity.raw_spellings(n)))
 
 
 def map_variants(spark: SparkSession, d: str) -> DataFrame:

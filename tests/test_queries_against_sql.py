@@ -49,3 +49,14 @@ def test_the_core_stands_alone(tmp_path):
     shutil.copy(entry.__file__, tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'p2_found' in q and 'p1_found' not in q and set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120)
+
+
+def test_pools_of_the_map_are_made_of_distinct_rows(spark, monkeypatch):
+    from hoopflow.operators import entity
+    from hoopflow.plans import engine_queries
+
+    read, pool = [], entity.raw_spellings
+    monkeypatch.setattr(entity, "raw_spellings", lambda b: read.append(b) or pool(b))
+    people = engine_queries._people(spark, str(DATA))
+    assert engine_queries._entries(spark, str(DATA), people).count() > 0
+    assert read[0].count() == people.select(*read[0].columns).distinct().count() < people.count()
